@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import secrets
+from . import bpe, secrets
 from .common import table
 
 
@@ -15,5 +16,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(docs, docs["source"], F.concat_ws("/", docs["source"], docs["lang"])))
 
 
-QUERIES = {"op1_secret_scan": op1_secret_scan}
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document by merge replay, and their decoding."""
+    return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_byte_bpe)}
 ORACLES = {"op1_secret_scan": secrets.ORACLE}
