@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, secrets
+from . import bpe, decontaminate, secrets, simhash
 from .common import table
 
 
@@ -21,5 +21,15 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_byte_bpe)}
-ORACLES = {"op1_secret_scan": secrets.ORACLE}
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.digest(simhash.near_duplicates(table(spark, sf_dir, "documents")))
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the benchmark items it contains."""
+    return decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_byte_bpe, op6_simhash, op10_decontaminate)}
+ORACLES = {"op1_secret_scan": secrets.ORACLE, "op10_decontaminate": decontaminate.ORACLE}
