@@ -76,3 +76,12 @@ def text_of(df: DataFrame, column: str = "text"):
 def width(df: DataFrame, per: int = 1) -> int:
     """A partition count for an exchange that follows the session's setting."""
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * per)
+
+
+#: Rows up to which a side of a few short columns is broadcast; beyond, the same join is shuffled.
+BROADCAST_ROWS = 1_000_000
+
+
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if it has few rows, else as it is."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

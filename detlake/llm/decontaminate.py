@@ -20,11 +20,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, small
 
 WORDS = r"[^\p{L}\p{M}\p{N}]+"
-#: Rows up to which a side is broadcast (24 bytes a row: at most some 25 MB); beyond, the same join is shuffled.
-BROADCAST_ROWS = 1_000_000
+#: Items up to which their shingles are broadcast; beyond, the same join is shuffled.
+MAX_ITEMS = 10_000
 
 
 def words(text: Column) -> Column:
@@ -57,11 +57,6 @@ def signatures(items: DataFrame, item: str, text: str, size: int, threshold: flo
     return rows.select(F.explode(F.slice("h", 1, least)).alias("hash"), "nth"), rows.select("nth", "item_id", "shingles")
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """``df`` marked for broadcast if it has few rows, else as it is."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def contained(docs: DataFrame, items: DataFrame, doc: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", size: int = 5, threshold: float = 0.8) -> DataFrame:
     """One row per document and item it contains.
 
@@ -73,13 +68,13 @@ def contained(docs: DataFrame, items: DataFrame, doc: str = "doc_id", text: str
     body = body.withColumn("text_hash", F.xxhash64("body"))
     hashed = body.select("doc_id", "text_hash", F.transform(words(F.col("body")), lambda x: F.xxhash64(x)).alias("h"))
     probes = hashed.select("doc_id", "text_hash", F.explode(shingle_hashes(F.col("h"), size)).alias("hash"))
-    found = probes.join(_small(sig), "hash").groupBy("doc_id", "text_hash", "nth").agg(F.count("*").alias("n"))
+    found = probes.join(small(sig), "hash").groupBy("doc_id", "text_hash", "nth").agg(F.count("*").alias("n"))
     found = cut(found.drop("n"), "candidates")
 
     keys = found.select("doc_id", "text_hash").distinct()
-    asked = found.join(_small(known), "nth").groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("item_id", "nth", "shingles")).alias("items"))
+    asked = found.join(small(known, MAX_ITEMS), "nth").groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("item_id", "nth", "shingles")).alias("items"))
     same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["text_hash"] == b["text_hash"])
-    few = _small(keys)
+    few = small(keys)
     hit = body.join(few, same(body, few), "left_semi").dropDuplicates(["doc_id", "text_hash"])
     both = hit.join(asked, same(hit, asked)).select(hit["doc_id"], hit["text_hash"], words(hit["body"]).alias("w"), asked["items"])
     both = both.select("doc_id", "text_hash", shingles(F.col("w"), size).alias("own"), "items")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, secrets, simhash
+from . import archive, bpe, decontaminate, rollup, secrets, simhash
 from .common import table
 
 
@@ -16,11 +16,21 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(docs, docs["source"], F.concat_ws("/", docs["source"], docs["lang"])))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived by way of ARC streams, read back from the WARC files."""
+    return archive.archive_and_read(table(spark, sf_dir, "pages"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by merge replay, and their decoding."""
     return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token totals by source, language and tokenizer version after inserts, recounts and deletes."""
+    return rollup.documents_history(spark, sf_dir)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.digest(simhash.near_duplicates(table(spark, sf_dir, "documents")))
@@ -31,5 +41,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_byte_bpe, op6_simhash, op10_decontaminate)}
-ORACLES = {"op1_secret_scan": secrets.ORACLE, "op10_decontaminate": decontaminate.ORACLE}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_warc, op3_byte_bpe, op5_token_rollup, op6_simhash, op10_decontaminate)}
+ORACLES = {"op1_secret_scan": secrets.ORACLE, "op2_warc": archive.ORACLE, "op5_token_rollup": rollup.ORACLE, "op10_decontaminate": decontaminate.ORACLE}
