@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import archive, bpe, decontaminate, rollup, secrets, simhash
+from . import archive, bpe, decontaminate, extract, rollup, secrets, simhash
 from .common import table
 
 
@@ -26,6 +26,11 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token totals by source, language and tokenizer version after inserts, recounts and deletes."""
     return rollup.documents_history(spark, sf_dir)
@@ -41,5 +46,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_warc, op3_byte_bpe, op5_token_rollup, op6_simhash, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_warc, op3_byte_bpe, op4_main_text, op5_token_rollup, op6_simhash, op10_decontaminate)}
 ORACLES = {"op1_secret_scan": secrets.ORACLE, "op2_warc": archive.ORACLE, "op5_token_rollup": rollup.ORACLE, "op10_decontaminate": decontaminate.ORACLE}
