@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import archive, bpe, decontaminate, extract, rollup, secrets, simhash
+from . import archive, bpe, decontaminate, extract, rollup, secrets, simhash, toxicity
 from .common import table
 
 
@@ -41,10 +41,15 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.near_duplicates(table(spark, sf_dir, "documents")))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the benchmark items it contains."""
     return decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_warc, op3_byte_bpe, op4_main_text, op5_token_rollup, op6_simhash, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_warc, op3_byte_bpe, op4_main_text, op5_token_rollup, op6_simhash, op7_toxicity, op10_decontaminate)}
 ORACLES = {"op1_secret_scan": secrets.ORACLE, "op2_warc": archive.ORACLE, "op5_token_rollup": rollup.ORACLE, "op10_decontaminate": decontaminate.ORACLE}
