@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, archive, bpe, decontaminate, extract, rollup, secrets, simhash, toxicity
+from . import ann, archive, bpe, decontaminate, extract, quality, rollup, secrets, simhash, toxicity
 from .common import table
 
 
@@ -51,10 +51,15 @@ def op8_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document under the model of trusted text, and whether it stays."""
+    return quality.digest(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the benchmark items it contains."""
     return decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_warc, op3_byte_bpe, op4_main_text, op5_token_rollup, op6_simhash, op7_toxicity, op8_vector_graph, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_warc, op3_byte_bpe, op4_main_text, op5_token_rollup, op6_simhash, op7_toxicity, op8_vector_graph, op9_quality, op10_decontaminate)}
 ORACLES = {"op1_secret_scan": secrets.ORACLE, "op2_warc": archive.ORACLE, "op5_token_rollup": rollup.ORACLE, "op10_decontaminate": decontaminate.ORACLE}

@@ -204,15 +204,15 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", size: int = 3) -> DataFrame:
-    """One row per document: ``doc_id``, ``text_hash``, ``fp``, ``component_id``."""
+    """One row per document: ``doc_id``, ``text_hash``, ``fp``, ``root`` (a fingerprint that names the component), ``component_id``."""
     prints = fingerprints(docs.select(docs[doc].alias("doc_id"), docs[text].alias("text")), size=size)
     prints = cut(prints, "prints")
     distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-prints")
     tied = components(links(distinct)).withColumnRenamed("node", "fp")
     ids = distinct.join(tied, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = ids.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_print = ids.join(least, "root").select("fp", "component_id")
-    return prints.join(of_print, "fp").select("doc_id", "text_hash", "fp", "component_id")
+    of_print = ids.join(least, "root").select("fp", "root", "component_id")
+    return prints.join(of_print, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def digest(found: DataFrame) -> DataFrame:
