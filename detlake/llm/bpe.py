@@ -23,7 +23,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from functools import lru_cache
 from itertools import chain, pairwise
 
 import numpy as np
@@ -34,8 +33,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import resident
+
 #: Characters of text in a block, and words kept between blocks.
-BLOCK_CHARS, CACHE_WORDS = 3_000_000, 900_000
+BLOCK_CHARS, CACHE_WORDS = 1_500_000, 300_000
 #: A pair of ids as one number.
 SHIFT = 24
 MASK = (1 << SHIFT) - 1
@@ -46,7 +47,6 @@ def parse_ranks(lines) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines if x.strip())}
 
 
-@lru_cache(maxsize=4)
 def load_ranks(path: str) -> dict[bytes, int]:
     """Ranks of a file that every machine has (it comes with the tokenizer package)."""
     with open(path, "rb") as f:
@@ -80,7 +80,7 @@ class MergeReplay:
 
     def encode(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each word."""
-        if len(self.pairs) > 1_000_000:
+        if len(self.pairs) > 300_000:
             self.pairs.clear()
         out: list[list[int] | None] = [None] * len(words)
         tok: list[int] = [-1]  # symbols of all words, -1 between words and at merged-away places
@@ -216,10 +216,9 @@ class Tokenizer:
         return b"".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-@lru_cache(maxsize=2)
 def tokenizer(path: str, pattern: str) -> Tokenizer:
     """One per worker process, so later tasks know the words of earlier ones."""
-    return Tokenizer(load_ranks(path), pattern)
+    return resident(("bpe", path, pattern), lambda: Tokenizer(load_ranks(path), pattern))
 
 
 RESULTS = [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())]

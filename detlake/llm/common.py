@@ -85,3 +85,17 @@ BROADCAST_ROWS = 1_000_000
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast if it has few rows, else as it is."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+_resident: dict = {}
+
+
+def resident(key, make=lambda: None):
+    """What ``make`` returns, kept in this Python worker until another key is asked for.
+
+    Workers are reused by later tasks and stages: tables of an earlier operator must not stay beside the next one's.
+    """
+    if key not in _resident:
+        _resident.clear()
+        _resident[key] = make()
+    return _resident[key]

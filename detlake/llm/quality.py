@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import cut, small
+from .common import cut, resident, small
 
 V, ORDER, QUANTILE, BIN = 40, 4, 0.995, 0.001
 _table: list[np.ndarray] = []
@@ -81,6 +81,7 @@ def count_ngrams(docs: DataFrame, text: str = "text") -> DataFrame:
     """(code, c) over all texts; each task sends a distinct n-gram once."""
 
     def run(batches):
+        resident("quality")
         sums = np.zeros(V**ORDER, "i8")
         for batch in batches:
             for t in batch.column("t"):
@@ -153,6 +154,7 @@ def surprise(docs: DataFrame, model: np.ndarray, name: str, text: str = "text",
     schema = T.StructType([*[rows.schema[k] for k in keep], T.StructField(name, T.DoubleType())])
 
     def run(batches):
+        resident("quality")
         logp = shared.value
         for batch in batches:
             out = []

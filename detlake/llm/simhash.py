@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut
+from .common import cut, resident
 
 BITS, BYTES, MOST, LEAST_EQUAL = 64, 8, 3, 5
 #: Members up to which a list is compared pair by pair, in one numpy call.
@@ -78,6 +78,7 @@ def fingerprints(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("
     schema = T.StructType([rows.schema[k] for k in keep] + [rows.schema["text_hash"], T.StructField("fp", T.LongType(), False)])
 
     def run(batches):
+        resident("simhash")
         for batch in batches:
             prints = [fingerprint(text_hashes(t.as_py(), size)) for t in batch.column("_text")]
             yield pa.RecordBatch.from_arrays(

@@ -33,6 +33,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import resident
+
 #: Labelled documents used for training, at most.
 MOST_TOXIC, MOST_ORDINARY = 1000, 3000
 GRAM, LONGEST, ECHO, LEVEL, WINDOW = 5, 10, 4, 6, 64
@@ -171,16 +173,9 @@ def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.05) -> tuple[tupl
     return tuple(map(float, a[:-1])), float(a[-1])
 
 
-_cells: dict[str, Cells] = {}
-
-
 def score_texts(texts: Iterable[str], model: Model) -> list[float]:
     """Probability that each text is toxic."""
-    key = model.key()
-    if key not in _cells:
-        _cells.clear()
-        _cells[key] = Cells(model.ordinary, model.toxic)
-    cells = _cells[key]
+    cells = resident(("toxicity", model.key()), lambda: Cells(model.ordinary, model.toxic))
     out = []
     for t in texts:
         z = model.offset
