@@ -14,6 +14,8 @@ from .adapters import adapted, sql, table
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 ORD = ["l_partkey", "l_suppkey", "l_linenumber"]
+#: Order of annotations: the four keys of a line item can repeat, its box then tells rows apart.
+ANN_ORD = ["image_id", "l_linenumber", "l_partkey", "l_suppkey", "box_x", "box_w", "box_h"]
 
 
 def query(oracle: str | None = None):
@@ -32,7 +34,14 @@ def _r(c, n: int = 6):
     return F.round(c, n)
 
 
-G, P = boxes.box("gx1", "gy1", "gx2", "gy2"), boxes.box("px1", "py1", "px2", "py2")
+def _truth() -> boxes.Box:
+    return boxes.box("gx1", "gy1", "gx2", "gy2")
+
+
+def _predicted() -> boxes.Box:
+    return boxes.box("px1", "py1", "px2", "py2")
+
+
 _INTER = "greatest(least(gx2, px2) - greatest(gx1, px1), 0) * greatest(least(gy2, py2) - greatest(gy1, py1), 0)"
 _UNION = f"((gx2 - gx1) * (gy2 - gy1) + (px2 - px1) * (py2 - py1) - {_INTER})"
 _HULL = "((greatest(gx2, px2) - least(gx1, px1)) * (greatest(gy2, py2) - least(gy1, py1)))"
@@ -42,7 +51,7 @@ _IOU = f"CASE WHEN has_prediction AND {_UNION} > 0 THEN {_INTER} / {_UNION} ELSE
 def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored predictions: a missing box has IoU 0."""
     b = adapted(spark, sf_dir, "boxes")
-    return b.withColumn("iou", F.when(F.col("has_prediction"), boxes.iou(G, P)).otherwise(0.0))
+    return b.withColumn("iou", F.when(F.col("has_prediction"), boxes.iou(_truth(), _predicted())).otherwise(0.0))
 
 
 @query(f"""SELECT round(avg(iou), 6) AS mean_iou, round(avg(has_prediction::INT), 6) AS detection_rate, count(*) AS total, round(avg((iou >= 0.25)::INT), 6) AS acc_25,
@@ -68,17 +77,17 @@ def iou_bands(spark, sf_dir):
   round(avg({_INTER} / {_UNION} - ({_HULL} - {_UNION}) / {_HULL}), 6) AS giou, round(avg({_INTER} / ({_UNION} + 1e-6) - ({_HULL} - {_UNION}) / ({_HULL} + 1e-6)), 6) AS giou_eps FROM {sql("boxes")} GROUP BY 1""")
 def iou_variants(spark, sf_dir):
     return adapted(spark, sf_dir, "boxes").groupBy("l_returnflag").agg(
-        _r(F.avg(boxes.iou_eps(G, P))).alias("iou_eps"), _r(F.avg(boxes.iou_raw(G, P))).alias("iou_raw"), _r(F.avg(boxes.giou(G, P))).alias("giou"), _r(F.avg(boxes.giou(G, P, 1e-6))).alias("giou_eps")
+        _r(F.avg(boxes.iou_eps(_truth(), _predicted()))).alias("iou_eps"), _r(F.avg(boxes.iou_raw(_truth(), _predicted()))).alias("iou_raw"), _r(F.avg(boxes.giou(_truth(), _predicted()))).alias("giou"), _r(F.avg(boxes.giou(_truth(), _predicted(), 1e-6))).alias("giou_eps")
     )
 
 
 @query(f"""SELECT l_linenumber, round(sum((gx1 + gx2) / 2), 4) AS cx, round(sum(gy2 - gy1), 4) AS h, round(sum(1 - gx2), 4) AS flipped_x1, round(sum(gx1 * 640), 4) AS px,
   round(sum(greatest(0, least(gx2 * 640, 640))), 4) AS clamped_x2, round(sum(greatest(0, least(gx2 - 0.1, 0.5)) - greatest(0, least(gx1 - 0.1, 0.5))), 4) AS cropped_w FROM {sql("boxes")} GROUP BY 1""")
 def box_transforms(spark, sf_dir):
-    one, px = F.lit(1.0), boxes.denormalise(G, 640, 360)
-    cut = boxes.crop(G, 0.1, 0.1, 0.5, 0.5)
+    one, px = F.lit(1.0), boxes.denormalise(_truth(), 640, 360)
+    cut = boxes.crop(_truth(), 0.1, 0.1, 0.5, 0.5)
     return adapted(spark, sf_dir, "boxes").groupBy("l_linenumber").agg(
-        _r(F.sum(boxes.to_cxcywh(G)[0]), 4).alias("cx"), _r(F.sum(boxes.to_cxcywh(G)[3]), 4).alias("h"), _r(F.sum(boxes.flip(G, one).x1), 4).alias("flipped_x1"),
+        _r(F.sum(boxes.to_cxcywh(_truth())[0]), 4).alias("cx"), _r(F.sum(boxes.to_cxcywh(_truth())[3]), 4).alias("h"), _r(F.sum(boxes.flip(_truth(), one).x1), 4).alias("flipped_x1"),
         _r(F.sum(px.x1), 4).alias("px"), _r(F.sum(boxes.clamp(px, 640, 360).x2), 4).alias("clamped_x2"), _r(F.sum(cut.x2 - cut.x1), 4).alias("cropped_w"),
     )
 
@@ -153,18 +162,18 @@ def dataset(spark: SparkSession, sf_dir: str, status: str | None = None) -> coco
     names = table(spark, sf_dir, "part").select(F.col("p_type").alias("category")).distinct()
     cats = keys.dense_numbers(names, [F.col("category")], "id", 101)
     fact = a.join(F.broadcast(cats), "category")
-    ann = keys.dense_numbers(fact.withColumnRenamed("id", "category_id"), [F.col(c) for c in ["image_id", "l_linenumber", "l_partkey", "l_suppkey"]], "id", 1)
+    ann = keys.dense_numbers(fact.withColumnRenamed("id", "category_id"), [F.col(c) for c in ANN_ORD], "id", 1)
     ann = ann.select("id", "image_id", "category_id", F.array("box_x", "box_y", "box_w", "box_h").alias("bbox"), (F.col("box_w") * F.col("box_h")).alias("area"), F.lit(0).alias("iscrowd"), F.lit(None).cast("string").alias("event_type"))
     return coco.Dataset(images, ann, cats.select("id", F.col("category").alias("name"), F.lit("object").alias("supercategory")))
 
 
 _CATS = "(SELECT category, 100 + row_number() OVER (ORDER BY category) AS id FROM (SELECT DISTINCT p_type AS category FROM part))"
-_ANN = f"(SELECT row_number() OVER (ORDER BY image_id, l_linenumber, l_partkey, l_suppkey) AS id, image_id, c.id AS category_id, c.category, box_w * box_h AS area FROM {sql('annotations')} a JOIN {_CATS} c USING (category))"
+_ANN = f"(SELECT row_number() OVER (ORDER BY image_id, l_linenumber, l_partkey, l_suppkey, box_x, box_w, box_h) AS id, image_id, c.id AS category_id, c.category, box_w * box_h AS area FROM {sql('annotations')} a JOIN {_CATS} c USING (category))"
 
 
 @query(f"""WITH c AS {_CATS}, a AS (SELECT CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS so, * FROM {sql("annotations")} x JOIN orders ON o_orderkey = image_id JOIN c USING (category) WHERE o_orderstatus IN ('F', 'O', 'P')),
   i AS (SELECT o_orderkey, o_orderstatus, row_number() OVER (ORDER BY CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END, o_orderkey) AS new_id FROM orders WHERE o_orderstatus IN ('F', 'O', 'P'))
-  SELECT row_number() OVER (ORDER BY so, image_id, l_linenumber, l_partkey, l_suppkey) AS id, i.new_id AS image_id, (c2.rn)::BIGINT AS category_id, round(box_w * box_h, 4) AS area, a.o_orderstatus || '_img_' || a.image_id || '.png' AS file_name
+  SELECT row_number() OVER (ORDER BY so, image_id, l_linenumber, l_partkey, l_suppkey, box_x, box_w, box_h) AS id, i.new_id AS image_id, (c2.rn)::BIGINT AS category_id, round(box_w * box_h, 4) AS area, a.o_orderstatus || '_img_' || a.image_id || '.png' AS file_name
   FROM a JOIN i ON i.o_orderkey = a.image_id JOIN (SELECT category, row_number() OVER (ORDER BY id) AS rn FROM c) c2 USING (category)""")
 def merge_datasets(spark, sf_dir):
     merged, _ = coco.merge([(s, dataset(spark, sf_dir, s)) for s in ("F", "O", "P")])
@@ -177,12 +186,12 @@ def merge_counts(spark, sf_dir):
     return coco.merge([(s, dataset(spark, sf_dir, s)) for s in ("F", "O", "P")] + [("missing", None)])[1]
 
 
-@query(f"""WITH f AS (SELECT *, image_id % 500 AS file FROM {sql("annotations")}), i AS (SELECT file, row_number() OVER (ORDER BY m) AS image_id FROM (SELECT file, min((image_id, l_linenumber, l_partkey, l_suppkey)) AS m FROM f GROUP BY file)),
-  c AS (SELECT category, row_number() OVER (ORDER BY m) AS category_id FROM (SELECT category, min((image_id, l_linenumber, l_partkey, l_suppkey)) AS m FROM f GROUP BY category))
-  SELECT row_number() OVER (ORDER BY f.image_id, l_linenumber, l_partkey, l_suppkey) AS id, i.image_id, category_id, round(box_w * 224 / 640 * (box_h * 224 / 360), 4) AS area FROM f JOIN i USING (file) JOIN c USING (category)""")
+@query(f"""WITH f AS (SELECT *, image_id % 500 AS file FROM {sql("annotations")}), i AS (SELECT file, row_number() OVER (ORDER BY m) AS image_id FROM (SELECT file, min((image_id, l_linenumber, l_partkey, l_suppkey, box_x, box_w, box_h)) AS m FROM f GROUP BY file)),
+  c AS (SELECT category, row_number() OVER (ORDER BY m) AS category_id FROM (SELECT category, min((image_id, l_linenumber, l_partkey, l_suppkey, box_x, box_w, box_h)) AS m FROM f GROUP BY category))
+  SELECT row_number() OVER (ORDER BY f.image_id, l_linenumber, l_partkey, l_suppkey, box_x, box_w, box_h) AS id, i.image_id, category_id, round(box_w * 224 / 640 * (box_h * 224 / 360), 4) AS area FROM f JOIN i USING (file) JOIN c USING (category)""")
 def build_dataset(spark, sf_dir):
     a = adapted(spark, sf_dir, "annotations").withColumn("image_file", F.format_string("f%d.png", F.col("image_id") % 500)).select("*", F.array("box_x", "box_y", "box_w", "box_h").alias("bbox"), F.lit(224).alias("image_width"), F.lit(224).alias("image_height"))
-    ds = coco.build(a, ["image_id", "l_linenumber", "l_partkey", "l_suppkey"], size=(360, 640))
+    ds = coco.build(a, ANN_ORD, size=(360, 640))
     return ds.annotations.select("id", "image_id", "category_id", _r("area", 4).alias("area"))
 
 
@@ -211,9 +220,9 @@ def surrogate_ids(spark, sf_dir):
     return keys.surrogate_keys(table(spark, sf_dir, "part"), ["p_brand"], ["p_partkey"])
 
 
-@query("SELECT id, l_orderkey FROM (SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id, * FROM lineitem) WHERE l_returnflag <> 'R'")
+@query("SELECT id, l_orderkey FROM (SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_returnflag) AS id, * FROM lineitem) WHERE l_returnflag <> 'R'")
 def gapped_ids(spark, sf_dir):
-    return keys.gapped_keys(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], F.col("l_returnflag") != "R").select("id", "l_orderkey")
+    return keys.gapped_keys(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag"], F.col("l_returnflag") != "R").select("id", "l_orderkey")
 
 
 @query("SELECT o_orderkey, coalesce(s_suppkey + 100000, o_custkey) AS o_custkey FROM orders LEFT JOIN supplier ON s_suppkey = o_custkey")
@@ -409,7 +418,7 @@ def component_bbox(spark, sf_dir):
 @query(f"""SELECT t.image_id, b.px1 AS x1, coalesce(b.score, 0) AS score FROM (SELECT DISTINCT image_id FROM {sql("boxes")}) t LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY score DESC, l_linenumber, l_partkey, l_suppkey) AS rn FROM {sql("boxes")} WHERE has_prediction) b ON b.image_id = t.image_id AND rn = 1""")
 def top_prediction(spark, sf_dir):
     b = adapted(spark, sf_dir, "boxes")
-    cx, cy, w, h = boxes.to_cxcywh(P)
+    cx, cy, w, h = boxes.to_cxcywh(_predicted())
     q = F.col("l_linenumber").cast("long") * 10**12 + F.col("l_partkey") * 10**5 + F.col("l_suppkey")
     p = b.where("has_prediction").select("image_id", q.alias("query"), cx.alias("cx"), cy.alias("cy"), w.alias("w"), h.alias("h"), "score", "px1")
     top = postprocess.top_prediction(p, b.select("image_id").distinct())
@@ -420,8 +429,8 @@ def top_prediction(spark, sf_dir):
 def _pairs(spark, sf_dir) -> DataFrame:
     b = adapted(spark, sf_dir, "boxes")
     row = F.col("l_linenumber").cast("long") * 10**12 + F.col("l_partkey") * 10**5 + F.col("l_suppkey")
-    p = b.where("has_prediction").select("image_id", row.alias("query"), "score", P.struct().alias("box"))
-    t = b.select("image_id", row.alias("gt_id"), G.struct().alias("box"))
+    p = b.where("has_prediction").select("image_id", row.alias("query"), "score", _predicted().struct().alias("box"))
+    t = b.select("image_id", row.alias("gt_id"), _truth().struct().alias("box"))
     return match.match_costs(match.image_pairs(p, t), F.lit(0.0))
 
 
@@ -440,8 +449,8 @@ def optimal_match(spark, sf_dir):
 def coco_ap(spark, sf_dir):
     b = adapted(spark, sf_dir, "boxes").withColumn("id", F.col("l_linenumber").cast("long") * 10**12 + F.col("l_partkey") * 10**5 + F.col("l_suppkey"))
     px = lambda x: boxes.denormalise(x, 640, 360).struct().alias("box")
-    truth = b.select("image_id", (F.col("l_partkey") % 5).alias("category_id"), "id", px(G), F.lit(0).alias("iscrowd"))
-    det = b.where("has_prediction").select("image_id", (F.col("l_partkey") % 5).alias("category_id"), "id", px(P), "score")
+    truth = b.select("image_id", (F.col("l_partkey") % 5).alias("category_id"), "id", px(_truth()), F.lit(0).alias("iscrowd"))
+    det = b.where("has_prediction").select("image_id", (F.col("l_partkey") % 5).alias("category_id"), "id", px(_predicted()), "score")
     return match.coco_summary(match.average_precision(match.coco_matches(truth, det)))
 
 

@@ -15,7 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_once = lru_cache(maxsize=8)(lambda make: make())
+
+@lru_cache(maxsize=8)
+def _once(make: Callable):
+    return make()
+
 
 
 def decode_chunks(chunks: DataFrame, make_decoder: Callable, wanted: bool = False) -> DataFrame:
