@@ -11,6 +11,8 @@ keeps one.  Columns beyond those of ``documents`` pass through all stages.
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,25 @@ from detlake.llm import bpe, decontaminate, quality, secrets, simhash
 from detlake.llm.common import cut, small, table
 
 HASH = "__text_hash"
+#: The columns stages read; any other column only passes through.
+OWN = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _apart(stage):
+    """Give further columns neutral names while a stage works, so none can clash with its own.
+
+    A further column that bears the name of a result gives way to it.
+    """
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        more = {c: f"further_{i}" for i, c in enumerate(docs.columns) if c not in OWN}
+        out = stage(spark, docs.select(*[docs[c].alias(more.get(c, c)) for c in docs.columns]), sf_dir)
+        back = {v: k for k, v in more.items()}
+        kept = [c for c in out.columns if back.get(c) is None or back[c] not in out.columns]
+        return out.select(*[out[c].alias(back.get(c, c)) for c in kept])
+
+    return run
 
 
 def _hashed(docs: DataFrame) -> DataFrame:
@@ -33,12 +54,14 @@ def _keys(rows: DataFrame) -> DataFrame:
     return rows.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
 
 
+@_apart
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity lies within their language's quantile."""
     trusted = quality.trusted_documents(docs, table(spark, sf_dir, "labels"))
     return quality.classify(docs, trusted).where("__keep").select(*docs.columns)
 
 
+@_apart
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near-duplicates, the document with the least id."""
     found = cut(simhash.near_duplicates(docs), "near-duplicates")
@@ -55,6 +78,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return once.union(more).select(*docs.columns)
 
 
+@_apart
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
     found = decontaminate.contained(docs, table(spark, sf_dir, "benchmark"))
@@ -63,6 +87,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return rows.join(gone, _same(rows, gone), "left_anti").select(*docs.columns)
 
 
+@_apart
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with owner-specific secrets and widely copied examples replaced by a mark each."""
     rows = _hashed(docs)
@@ -76,6 +101,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return both.select(*[clean.alias(c) if c == "text" else rows[c] for c in docs.columns])
 
 
+@_apart
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document left, with their digests and all columns but the text."""
     keep = tuple(c for c in docs.columns if c != "text")

@@ -146,6 +146,8 @@ def parse_warc(lines: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes]]
         buf.extend(END)
         while True:
             if head is None:
+                while buf[:2] == b"\r\n":  # an archive whose last block ends in line ends has some to spare
+                    del buf[:2]
                 at = buf.find(END)
                 if at < 0:
                     break
@@ -162,7 +164,7 @@ def parse_warc(lines: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes]]
             yield head, bytes(buf[:need])
             del buf[: need + len(END)]
             head = None
-    if head is not None or buf:
+    if head is not None or buf.strip(b"\r\n"):
         raise ValueError("a WARC archive ends inside a record")
 
 
