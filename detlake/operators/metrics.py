@@ -85,3 +85,10 @@ def pivot_styles(results: DataFrame, styles: Sequence[str] = ("original", "simpl
     """IoU of every task under each prompt style, side by side, and the gain of the last over the first."""
     wide = results.groupBy("task").pivot("style", list(styles)).agg(F.first("iou"))
     return wide.withColumn("gain", F.col(styles[-1]) - F.col(styles[0]))
+
+
+def smoothed(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, decay: float = 0.9) -> DataFrame:
+    """Exponential moving average of a run's values after its last row (a run's epochs: few)."""
+    packed = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*order, F.col(value).cast("double").alias("_v")))).alias("_r"))
+    step = lambda a, x: F.when(a.isNull(), x["_v"]).otherwise(decay * a + (1 - decay) * x["_v"])
+    return packed.select(*keys, F.aggregate("_r", F.lit(None).cast("double"), step).alias("ema"))

@@ -120,3 +120,14 @@ def export_frames(frames: DataFrame, write: Callable, path: str = "file") -> Dat
             yield pd.DataFrame({"file": pdf[path], "written": [bool(write(*r)) for r in zip(pdf[path], pdf["height"], pdf["width"], pdf["pixels"], strict=True)]})
 
     return frames.mapInPandas(run, "file string, written boolean")
+
+
+def video_lengths(index: DataFrame, make_counter: Callable) -> DataFrame:
+    """(stem, path, n_frames) with an injected counter(path) -> frames; never below zero. Store the result: it is a dimension."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        count = _once(make_counter)
+        for pdf in batches:
+            yield pdf.assign(n_frames=[max(0, int(count(p))) for p in pdf["path"]])[["stem", "path", "n_frames"]]
+
+    return index.select("stem", "path").mapInPandas(run, "stem string, path string, n_frames int")

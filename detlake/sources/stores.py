@@ -138,3 +138,9 @@ def dump(df: DataFrame, path: str) -> None:
 def random_images(listing: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """``n`` files by a seeded hash of their path."""
     return listing.orderBy(F.xxhash64("path", F.lit(seed)), "path").limit(n)
+
+
+def image_files(spark: SparkSession, path: str, pattern: str = "*.png") -> DataFrame:
+    """(file_name, content) of images below a folder, for a decoding seam."""
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
+    return raw.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "content")
