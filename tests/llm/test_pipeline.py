@@ -1,6 +1,5 @@
 """The corpus pipeline stage by stage on a small corpus with planted cases."""
 
-import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -60,7 +59,7 @@ def test_every_stage(spark, corpus, tmp_path):
 def test_run_equals_its_stages_and_survives_emptiness(spark, corpus):
     root, rows = corpus
     done = cp.run(spark, root)
-    assert {r["doc_id"] for r in done.collect()} >= set(range(20, 100)) - {3} or done.count() > 100
+    assert len({r["doc_id"] for r in done.collect()} & set(range(20, 100))) >= 78
     empty = spark.read.parquet(f"{root}/documents.parquet").where("false")
     for _, f in cp.STAGES:
         assert f(spark, empty, root).count() == 0
@@ -76,4 +75,4 @@ def test_stages_keep_rows_apart_that_share_an_id(spark, corpus):
 
 def test_queries_are_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11)) and set(queries.ORACLES) <= set(queries.QUERIES)
-    assert [n for n, _ in cp.STAGES] == ["quality", "near_duplicates", "decontamination", "secrets", "tokens"] and random.Random(0)
+    assert [n for n, _ in cp.STAGES] == ["quality", "near_duplicates", "decontamination", "secrets", "tokens"]
