@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterable
 from typing import NamedTuple
@@ -43,6 +44,8 @@ ORDINARY_BYTES, TOXIC_BYTES = 32768, 8192
 LEAST_WEIGHT, STRONG = 1.5, 4.0
 #: A marking n-gram is so many times as frequent in toxic text; so many occurrences count from one document.
 RATIO, EACH = 25, 8
+#: Least share of the toxic documents (three at least) that a marking n-gram occurs in.
+SPREAD = 0.008
 CACHE = 400_000
 STRIP = bytes.maketrans(b".,;:!?|\"()*%&$#'", b" " * 16)
 
@@ -108,9 +111,25 @@ def evidence(words: list[bytes], cells: Cells, weights: dict) -> tuple[float, ..
     return math.log1p(total), math.log((total + 0.5) / (len(words) + 20)), math.log1p(strong), math.log((strong + 0.5) / (len(words) + 20))
 
 
+def _apart(split: list[tuple[list[bytes], int]]) -> list[tuple[list[bytes], int]]:
+    """Without near copies: what a group of copies shares would pass for a mark of its label.
+
+    Two texts of one label count as copies if the least or the greatest hash of their word triples agrees.
+    """
+    seen: set[tuple] = set()
+    out = []
+    for words, y in split:
+        hashes = {zlib.crc32(b" ".join(words[i : i + 3])) for i in range(max(1, len(words) - 2))}
+        keys = {(y, 0, min(hashes)), (y, 1, max(hashes))}
+        if not keys & seen:
+            out.append((words, y))
+        seen |= keys
+    return out
+
+
 def fit(texts: list[tuple[str, int]]) -> Model:
     """Train on (text, 1 if toxic else 0)."""
-    split = [(windows(t), y) for t, y in texts]
+    split = _apart([(windows(t), y) for t, y in texts])
     n = [sum(y == k for _, y in split) for k in (0, 1)]
     if not all(n):
         share = n[1] / max(1, sum(n))
@@ -128,7 +147,7 @@ def fit(texts: list[tuple[str, int]]) -> Model:
         sums[y].update({g: min(k, EACH) for g, k in mine.items()})
         if y:
             spread.update(mine.keys())
-    marks = {g for g, k in sums[1].items() if spread[g] >= max(3, 0.004 * n[1]) and k / size[1] > RATIO * (sums[0][g] + 1) / size[0]}
+    marks = {g for g, k in sums[1].items() if spread[g] >= max(3, SPREAD * n[1]) and k / size[1] > RATIO * (sums[0][g] + 1) / size[0]}
     seen: Counter = Counter()
     ordinary: list[bytes] = []
     for words, y in split:
