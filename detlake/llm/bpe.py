@@ -23,7 +23,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from itertools import chain, pairwise
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from .common import resident
 
 #: Characters of text in a block, and words kept between blocks.
-BLOCK_CHARS, CACHE_WORDS = 1_500_000, 300_000
+BLOCK_CHARS, CACHE_WORDS = 1_500_000, 400_000
 #: A pair of ids as one number.
 SHIFT = 24
 MASK = (1 << SHIFT) - 1
@@ -71,7 +71,12 @@ class MergeReplay:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
-        self.first = [ranks.get(bytes([i]), -1) for i in range(256)]
+        self.first = np.array([*(ranks.get(bytes([i]), -1) for i in range(256)), -1], "i4")
+        #: Rank of every pair of bytes, -1 if they don't merge; 256 stands for no byte.
+        self.byte_pairs = np.full((257, 257), -1, "i4")
+        for token, rank in ranks.items():
+            if len(token) == 2:
+                self.byte_pairs[token[0], token[1]] = rank
         self.pairs: dict[int, int] = {}  # code of a pair of ids -> id of the merged token, -1 if none
 
     def merged(self, code: int) -> int:
@@ -82,39 +87,36 @@ class MergeReplay:
         """Ids of each word."""
         if len(self.pairs) > 300_000:
             self.pairs.clear()
-        out: list[list[int] | None] = [None] * len(words)
-        tok: list[int] = [-1]  # symbols of all words, -1 between words and at merged-away places
+        out: list[list[int]] = [[]] * len(words)
         owner: list[int] = []
-        starts: list[int] = []
         for w, word in enumerate(words):
             whole = self.ranks.get(word)
             if whole is not None:
                 out[w] = [whole]
-                continue
-            if not word:
-                out[w] = []
-                continue
-            starts.append(len(tok))
-            tok.extend([self.first[c] for c in word])
-            tok.append(-1)
-            owner.append(w)
-        if not starts:
+            elif word:
+                owner.append(w)
+        if not owner:
             return out
-        n = len(tok)
+        # symbols of all words side by side, -1 before, between and after them; -2 later marks merged-away places
+        size = np.fromiter((len(words[w]) for w in owner), "i8", len(owner))
+        starts = np.concatenate([[0], np.cumsum(size + 1)[:-1]]) + 1
+        n = int(size.sum() + len(owner) + 1)
+        flat = np.frombuffer(b"".join([words[w] for w in owner]), "u1")
+        symbol = np.full(n, 256, "i4")
+        symbol[np.arange(len(flat)) + np.repeat(np.arange(1, len(owner) + 1), size)] = flat
+        tok: list[int] = self.first[symbol].tolist()
         nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
-        index: dict[int, list[int]] = {}  # pair code -> places, only for pairs that merge
+        rank_at = self.byte_pairs[symbol[:-1], symbol[1:]]
+        places = np.flatnonzero(rank_at >= 0)
+        places = places[np.argsort(rank_at[places], kind="stable")]
+        cuts = np.flatnonzero(np.diff(rank_at[places])) + 1
         merged, ranked = self.merged, self.pairs
-        for i, (a, b) in enumerate(pairwise(tok)):
-            if a >= 0 and b >= 0:
-                code = a << SHIFT | b
-                if code not in ranked:
-                    merged(code)
-                if ranked[code] >= 0:
-                    at = index.get(code)
-                    if at is None:
-                        index[code] = [i]
-                    else:
-                        at.append(i)
+        index: dict[int, list[int]] = {}  # pair code -> places, only for pairs that merge
+        for run in np.split(places, cuts):
+            if len(run):
+                code = tok[run[0]] << SHIFT | tok[run[0] + 1]
+                merged(code)
+                index[code] = run.tolist()
         heap = [(ranked[code], code) for code in index]
         heapq.heapify(heap)
         broken: set[int] = set()  # places whose word saw a rank below the merge at hand
@@ -166,17 +168,13 @@ class MergeReplay:
                             at.append(h)
                         if r < rank:
                             broken.add(i)
-        ends = np.searchsorted(starts, sorted(broken), "right") - 1 if broken else []
-        redo = {int(x) for x in ends}
-        for s, (start, w) in enumerate(zip(starts, owner, strict=True)):
-            if s in redo:
-                out[w] = encode_word(words[w], self.ranks)
-                continue
-            ids, i = [], start
-            while tok[i] != -1:
-                ids.append(tok[i])
-                i = nxt[i]
-            out[w] = ids
+        left_over = np.array(tok, "i4")
+        live = left_over >= 0
+        ends = np.cumsum(np.add.reduceat(live, starts - 1, dtype="i8")).tolist()
+        ids = left_over[live].tolist()
+        redo = set((np.searchsorted(starts, sorted(broken), "right") - 1).tolist()) if broken else ()
+        for s, (w, i, j) in enumerate(zip(owner, [0, *ends], ends, strict=False)):
+            out[w] = encode_word(words[w], self.ranks) if s in redo else ids[i:j]
         return out
 
 
