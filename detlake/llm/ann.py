@@ -159,10 +159,8 @@ def usable(vectors: DataFrame, id_: str, column: str) -> DataFrame:
 SHARD = "shard int, ids binary, counts binary, vectors binary, graph binary, entry int"
 
 
-def index(rows: DataFrame, top: int) -> DataFrame:
-    """One row per shard: distinct vectors, their least ``top`` + 1 ids, and the graph."""
-    n = rows.count()
-    shards = max(1, -(-n // SHARD_ROWS))
+def index(rows: DataFrame, top: int, shards: int) -> DataFrame:
+    """One row per shard (0 to ``shards`` - 1, empty ones missing): distinct vectors, their least ``top`` + 1 ids, and the graph."""
     hashed = rows.withColumn("h", F.xxhash64("v"))
     few = Window.partitionBy("h", "v").orderBy("id")
     kept = hashed.withColumn("nth", F.row_number().over(few)).where(F.col("nth") <= top + 1).withColumn("shard", F.pmod("h", F.lit(shards)).cast("int"))
@@ -187,13 +185,13 @@ def search(rows: DataFrame, every: int = 50, top: int = 5, beam: int = SEARCH_BE
     rows = cut(usable(rows, id_, column), "vectors")
     usual = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     rows = rows.where(F.size("v") == (usual["n"] if usual else 0))
-    shards = cut(index(rows, top), "graph-shards")
+    n_shards = max(1, -(-rows.count() // SHARD_ROWS))
+    shards = cut(index(rows, top, n_shards), "graph-shards")
     queries = rows.where(F.col("id") % every == 0)
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    n_shards = max(1, shards.count())
     packed = queries.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).groupBy("block").agg(F.collect_list(F.struct("id", "v")).alias("q"))  # about QUERY_BLOCK each
-    numbers = [r["shard"] for r in shards.select("shard").collect()]  # one number per SHARD_ROWS rows
-    asked = cut(packed, "query-blocks").withColumn("shard", F.explode(F.array(*map(F.lit, numbers)))) if numbers else packed.withColumn("shard", F.lit(0))
+    # the stated query set against all rows, in blocks: every block goes to every shard once
+    asked = cut(packed, "query-blocks").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))))
     pairs = asked.repartition(max(1, min(n_shards * blocks, 4096)), "shard", "block").join(shards, "shard").select("q", "ids", "counts", "vectors", "graph", "entry")
 
     def run(frames):

@@ -40,6 +40,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not found:
         found = spark.sparkContext.getCheckpointDir()
     if not found:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="detlake-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
