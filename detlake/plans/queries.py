@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import boxes, captions, frames, labels, rle, vectors
 from ..operators import align, coco, keys, match, metrics, postprocess, quality, sample, timeline
+from ..sources import stores
+from . import pipelines
 from .adapters import adapted, sql, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -553,3 +555,103 @@ def proposals(spark, sf_dir):
 def event_chunks(spark, sf_dir):
     o = table(spark, sf_dir, "events").select(F.format_string("part-%d", F.col("user_id") % 7).alias("part"), F.lit(0).alias("ep_idx"), (F.col("event_id") % 400).cast("int").alias("frame"), F.when(F.col("event_type") == "click", "right_click").otherwise(F.col("event_type")).alias("event"), F.lit("1 2").alias("rle"))
     return sample.chunks_with_events(o).select("part", "frame_offset", "has_event")
+
+
+@query(f"SELECT o.key_frame, o.part, e.episode FROM {sql('observations')} o JOIN {sql('episodes')} e USING (part, ep_idx)")
+def named_observations(spark, sf_dir):
+    return align.with_episode(adapted(spark, sf_dir, "observations"), adapted(spark, sf_dir, "episodes")).select("key_frame", "part", "episode")
+
+
+@query(f"SELECT count(*) FILTER (ep_idx % 3 = 0) AS no_action_data, count(*) FILTER (ep_idx % 3 <> 0) AS kept FROM {sql('episodes')}")
+def action_reasons(spark, sf_dir):
+    e = adapted(spark, sf_dir, "episodes")
+    return quality.reason_counts(align.with_actions(e, e.where("ep_idx % 3 <> 0")), ("no_action_data",))
+
+
+@query(f"""SELECT reason, count(*) AS n FROM (SELECT CASE WHEN a < 40 THEN 'too_small' WHEN a > 80 THEN 'too_large' END AS reason FROM (SELECT string_split(rle, ' ')[2]::INT + string_split(rle, ' ')[4]::INT AS a FROM {sql("observations")})) GROUP BY 1""")
+def mask_bounds(spark, sf_dir):
+    rows = pipelines.masked_rows(adapted(spark, sf_dir, "observations"), (360, 640), 40, 80.5 / (360 * 640))
+    return rows.groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT key_frame FROM {sql('observations')} WHERE sqrt(pow(point_row - 180e0, 2) + pow(point_col - 320e0, 2)) / sqrt(129600e0 / 4 + 409600e0 / 4) <= 0.4")
+def near_centre(spark, sf_dir):
+    return pipelines.near_centre(adapted(spark, sf_dir, "observations"), 0.4).select("key_frame")
+
+
+@query("SELECT (SELECT count(*) FROM orders) AS images, (SELECT count(*) FROM lineitem) AS annotations, round((SELECT count(*) FROM lineitem) / (SELECT count(*) FROM orders)::DOUBLE, 6) AS per_image")
+def annotation_density(spark, sf_dir):
+    return quality.density(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")).withColumn("per_image", _r("per_image"))
+
+
+_PROMPT = "CASE p_partkey % 3 WHEN 0 THEN 'tree_trunk' WHEN 1 THEN 'ocean' ELSE 'red_cow' END"
+
+
+@query(f"""SELECT p_partkey, style, CASE style WHEN 'original' THEN p_name WHEN 'simple' THEN replace(l, '_', ' ') ELSE replace(CASE l WHEN 'tree_trunk' THEN 'oak_log' WHEN 'ocean' THEN 'water' ELSE l END, '_', ' ') END AS prompt
+  FROM (SELECT p_partkey, p_name, {_PROMPT} AS l FROM part), (VALUES ('original'), ('simple'), ('aligned')) t(style)""")
+def prompt_styles(spark, sf_dir):
+    p = table(spark, sf_dir, "part").withColumn("l", F.expr(_PROMPT))
+    return p.select("p_partkey", F.inline(labels.prompt_variants(F.col("p_name"), F.col("l"))))
+
+
+@query("SELECT l_orderkey AS task, max(l_quantity) FILTER (l_linenumber = 1) AS original, max(l_quantity) FILTER (l_linenumber = 2) AS simple, max(l_quantity) FILTER (l_linenumber = 3) AS aligned, max(l_quantity) FILTER (l_linenumber = 3) - max(l_quantity) FILTER (l_linenumber = 1) AS gain FROM lineitem WHERE l_linenumber <= 3 GROUP BY 1")
+def style_pivot(spark, sf_dir):
+    l = table(spark, sf_dir, "lineitem").where("l_linenumber <= 3").groupBy(F.col("l_orderkey").alias("task"), "l_linenumber").agg(F.max("l_quantity").alias("iou"))
+    return metrics.pivot_styles(l.withColumn("style", F.get(F.array(*map(F.lit, ("original", "simple", "aligned"))), F.col("l_linenumber") - 1)))
+
+
+_PROBS = "[l_discount * 8, l_tax * 10, (l_quantity - 1) / 60]"
+
+
+@query(f"""SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, round(list_max(p), 6) AS score, array_to_string(list_filter([CASE WHEN p[1] > 0.25 THEN 'red' END, CASE WHEN p[2] > 0.25 THEN 'cow' END, CASE WHEN p[3] > 0.25 THEN 'x' END], lambda t: t IS NOT NULL), ' ') AS phrase
+  FROM (SELECT *, {_PROBS} AS p FROM lineitem) WHERE list_max(p) > 0.35""")
+def token_phrases(spark, sf_dir):
+    l = table(spark, sf_dir, "lineitem").withColumn("probs", F.array(F.col("l_discount") * 8, F.col("l_tax") * 10, (F.col("l_quantity") - 1) / 60))
+    out = postprocess.phrases(postprocess.confident(l), F.array(*map(F.lit, ("red", "cow", "x"))))
+    return out.select("l_orderkey", *ORD, _r("score").alias("score"), "phrase")
+
+
+@query("SELECT l_linenumber AS epoch, round(sum(l_tax) / greatest(count(l_tax), 1), 6) AS l_tax, round(sum(l_discount) / greatest(count(l_discount), 1), 6) AS l_discount FROM lineitem GROUP BY 1")
+def epoch_losses(spark, sf_dir):
+    e = metrics.epoch_means(table(spark, sf_dir, "lineitem").withColumnRenamed("l_linenumber", "epoch"), ["l_tax", "l_discount"])
+    return e.select("epoch", _r("l_tax").alias("l_tax"), _r("l_discount").alias("l_discount"))
+
+
+@query("SELECT event_type, min(event_id) AS first_frame, max(event_id) AS last_frame FROM events GROUP BY 1")
+def label_extent(spark, sf_dir):
+    return timeline.label_extent(table(spark, sf_dir, "events").withColumn("frame", F.col("event_id")), ["event_type"])
+
+
+@query("SELECT user_id, event_id, sum((event_type = 'signup')::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id)::BIGINT AS island FROM events")
+def islands(spark, sf_dir):
+    return timeline.session_ids(table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], F.col("event_type") == "signup").select("user_id", "event_id", "island")
+
+
+@query("SELECT (user_id % 11)::INT AS ep_idx, (event_id % 40 * 32)::INT AS frame_offset, count(*) AS n, count(DISTINCT event_type) AS parts FROM events WHERE event_id % 7 <> 0 GROUP BY 1, 2")
+def store_scan(spark, sf_dir):
+    text = F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("__meta__"), F.col("event_id").cast("string"))).otherwise(F.format_string("(%d, %d)", F.col("user_id") % 11, F.col("event_id") % 40 * 32))
+    kv = table(spark, sf_dir, "events").select(F.lit("s").alias("store"), F.col("event_type").alias("part"), text.cast("binary").alias("key"), F.lit(b"").alias("value"))
+    scan = stores.scan_kv(kv)
+    parts = align.image_index(scan)
+    return scan.groupBy("ep_idx", "frame_offset").agg(F.count("*").alias("n")).join(parts, ["ep_idx", "frame_offset"]).select("ep_idx", "frame_offset", "n", F.size("parts").cast("long").alias("parts"))
+
+
+@query(f"SELECT stem, min(path) AS path FROM {sql('videos')} GROUP BY 1")
+def first_videos(spark, sf_dir):
+    v = adapted(spark, sf_dir, "videos")
+    listing = v.select(F.concat(F.lit("/x"), "path").alias("path"), "stem")
+    index = align.video_index(listing.select(F.concat_ws("/", "path", F.concat("stem", F.lit(".mp4"))).alias("path")))
+    return index.select("stem", F.regexp_extract("path", r"^/x(/v/[^/]*\.mp4)/", 1).alias("path"))
+
+
+@query(f"""WITH p AS (SELECT p.image_id, abs((p.px1 + p.px2) / 2 - (t.gx1 + t.gx2) / 2) + abs((p.py1 + p.py2) / 2 - (t.gy1 + t.gy2) / 2) + abs((p.px2 - p.px1) - (t.gx2 - t.gx1)) + abs((p.py2 - p.py1) - (t.gy2 - t.gy1)) AS l1
+  FROM (SELECT * FROM {sql("boxes")} WHERE has_prediction) p JOIN {sql("boxes")} t USING (image_id)) SELECT image_id, round(min(l1), 6) + 0.0 AS least_l1, round(max(l1), 6) + 0.0 AS most_l1 FROM p GROUP BY 1""")
+def matching_costs(spark, sf_dir):
+    return _pairs(spark, sf_dir).groupBy("image_id").agg((_r(F.min("l1")) + 0.0).alias("least_l1"), (_r(F.max("l1")) + 0.0).alias("most_l1"))
+
+
+@query("SELECT vec_id, round(list_sum(list_transform(range(1, 65), lambda i: (i - 1) * (embedding[i]::DOUBLE * embedding[i]::DOUBLE))) / list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)), 5) AS place FROM embeddings")
+def soft_place(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    sq = F.transform("embedding", lambda x: x.cast("double") * x.cast("double"))
+    return e.select("vec_id", _r(vectors.expectation(F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: i.cast("double")), sq), 5).alias("place"))
