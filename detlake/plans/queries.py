@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import boxes, captions, frames, labels, rle, vectors
 from ..operators import align, coco, keys, match, metrics, postprocess, quality, sample, timeline
 from ..sources import stores
+from ..streaming import events as streaming
 from . import pipelines
 from .adapters import adapted, sql, table
 
@@ -655,3 +657,15 @@ def soft_place(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
     sq = F.transform("embedding", lambda x: x.cast("double") * x.cast("double"))
     return e.select("vec_id", _r(vectors.expectation(F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: i.cast("double")), sq), 5).alias("place"))
+
+
+@query("""SELECT date_trunc('hour', ts)::TIMESTAMP AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2""")
+def streamed_hourly_counts(spark, sf_dir):
+    """The events read as a stream until all present data is in; hours and types bound the result."""
+    schema = table(spark, sf_dir, "events").schema
+    events = streaming.read_events(spark, sf_dir, schema, "events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    stream = streaming.windowed_counts(events, ["event_type"])
+    name = f"hourly_{uuid.uuid4().hex}"
+    run = stream.writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start()
+    run.awaitTermination()
+    return spark.table(name).select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", _r("total", 4).alias("total"))

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
-def read_events(spark: SparkSession, path: str, schema) -> DataFrame:
+def read_events(spark: SparkSession, path: str, schema, pattern: str = "*.parquet") -> DataFrame:
     """New Parquet files of a folder as a stream."""
-    return spark.readStream.schema(schema).parquet(path)
+    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(path)
 
 
 def keep_first(events: DataFrame, keys: list[str], ts: str = "ts", late: str = "1 hour") -> DataFrame:
