@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from .common import resident
 
 #: Characters of text in a block, and words kept between blocks.
-BLOCK_CHARS, CACHE_WORDS = 1_500_000, 400_000
+BLOCK_CHARS, CACHE_WORDS = 2_000_000, 800_000
 #: A pair of ids as one number.
 SHIFT = 24
 MASK = (1 << SHIFT) - 1
