@@ -21,6 +21,7 @@ unless they bear the names of the results, which replace them.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import heapq
 from itertools import chain
@@ -198,7 +199,11 @@ class Tokenizer:
         for w in new & self.older.keys():
             self.known[w] = self.older[w]
         new = list(new - self.known.keys())
-        ids = self.replay.encode([w.encode("utf-8", "surrogatepass") for w in new])
+        gc.disable()  # the replay makes many short lists and no cycles: looking for cycles among them takes a tenth of its time
+        try:
+            ids = self.replay.encode([w.encode("utf-8", "surrogatepass") for w in new])
+        finally:
+            gc.enable()
         sizes = np.cumsum([len(x) * 4 for x in ids]).tolist()
         flat = np.fromiter(chain.from_iterable(ids), "<u4", sizes[-1] // 4 if sizes else 0).tobytes()
         self.known.update(zip(new, [flat[i:j] for i, j in zip([0, *sizes], sizes, strict=False)], strict=True))
