@@ -105,7 +105,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document left, with their digests and all columns but the text."""
     keep = tuple(c for c in docs.columns if c != "text")
-    return bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, keep=keep, with_ids=True)
+    return bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, keep=keep, with_ids=True, cache_words=250_000)
 
 
 STAGES = [

@@ -219,19 +219,20 @@ class Tokenizer:
         return b"".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-def tokenizer(path: str, pattern: str) -> Tokenizer:
+def tokenizer(path: str, pattern: str, cache_words: int) -> Tokenizer:
     """One per worker process, so later tasks know the words of earlier ones."""
-    return resident(("bpe", path, pattern), lambda: Tokenizer(load_ranks(path), pattern))
+    return resident(("bpe", path, pattern, cache_words), lambda: Tokenizer(load_ranks(path), pattern, cache_words))
 
 
 RESULTS = [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())]
 
 
-def encode(docs: DataFrame, rank_file: str, pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), with_ids: bool = False) -> DataFrame:
+def encode(docs: DataFrame, rank_file: str, pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), with_ids: bool = False, cache_words: int = CACHE_WORDS) -> DataFrame:
     """``keep`` columns with ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and, if asked, ``ids``.
 
     ``rank_file`` is a path that exists on every machine, or the name of a file
-    given to ``SparkContext.addFile``.
+    given to ``SparkContext.addFile``.  ``cache_words`` bounds what a worker
+    remembers, at some 250 bytes a word; fewer words cost time, not results.
     """
     keep = tuple(k for k in keep if k not in {x for x, _ in RESULTS} | {"ids"})
     rows = docs.select(*[docs[k] for k in keep], F.coalesce(docs[text].cast("string"), F.lit("")).alias("_text"))
@@ -242,7 +243,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, text: str = "text", ke
         import os
 
         path = rank_file if os.path.exists(rank_file) else SparkFiles.get(os.path.basename(rank_file))
-        tok = tokenizer(path, pattern)
+        tok = tokenizer(path, pattern, cache_words)
         sha = lambda b: hashlib.sha256(b).hexdigest()
         for batch in batches:
             at, col = 0, batch.column("_text")
