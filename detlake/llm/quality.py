@@ -1,21 +1,21 @@
 """Quality by the perplexity of an interpolated modified Kneser-Ney model.
 
-The model predicts symbols of a fixed alphabet of ``V`` = 40 (letters, one
-symbol for any capital, white space, digits, full stop, comma, other marks, a few
-classes of further letters) from the three before them.  Counts come from every
-trusted text.  Discounts, context totals and back-off weights of all four orders
-are made by joins of count tables that Spark shards by context.  Since there are
-at most 40^4 n-grams, the finished table of log probabilities has at most 2.56
-million entries (10 MB), a proven bound, and is broadcast; texts look up their
-n-grams in it and nothing is shuffled by occurrence.
+The model (``ngrams``) predicts unfolded characters from the four before them.
+Its counts come from every trusted text and its tables grow with the corpus: they
+stay sharded and are joined with the n-grams of the documents, gathered by block
+and document before the shuffle.
 
 A document is rejected if its mean surprise in nats a symbol lies above the
 quantile ``QUANTILE`` of trusted documents in its language (of all trusted ones,
-if its language has none), found exactly to 0.001 from histograms.
+if its language has none), found exactly to 0.001 from histograms; there a trusted
+document counts with the n-grams that only it holds as unseen.
 
 A null language is a language of its own.  An empty or null text has no
 perplexity and is rejected.  Without trusted text nothing is rejected but empty
 texts.  Repeated rows are judged alike; other columns pass through.
+
+``train`` and ``surprise`` are a small model with a dense table over ``V`` = 40
+folded symbols, for comparison only: :func:`classify` doesn't use them.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from . import ngrams
 from .common import cut, resident, small
 
 V, ORDER, QUANTILE, BIN = 40, 4, 0.995, 0.001
@@ -183,19 +184,27 @@ def trusted_documents(docs: DataFrame, labels: DataFrame, doc: str = "doc_id") -
     return docs.join(good, docs[doc] == good["__id"], "left_semi")
 
 
+def scored_by(docs: DataFrame, scores: DataFrame, name: str, text: str = "text", score: str = "s") -> DataFrame:
+    """``docs`` with the score ``name`` of each text (null: empty text)."""
+    got = scores.select(F.col("h").alias("__h"), F.col(score).alias(name))
+    return docs.join(small(got), F.xxhash64(F.coalesce(docs[text].cast("string"), F.lit(""))) == F.col("__h"), "left").drop("__h")
+
+
 def classify(docs: DataFrame, trusted: DataFrame, lang: str = "lang", text: str = "text", keep: tuple[str, ...] | None = None, quantile: float = QUANTILE) -> DataFrame:
-    """``keep`` columns with ``__surprise``, ``__threshold`` and ``__keep``."""
-    model = train(trusted, text)
-    known = thresholds(surprise(trusted, model, "__surprise", text, (lang,)), lang, "__surprise", quantile)
+    """``keep`` columns with ``__surprise``, ``__threshold`` and ``__keep``; ``trusted`` are some of ``docs``."""
+    model, base = ngrams.train(trusted, _discounts, text)
+    scores = cut(ngrams.surprise(docs, model, base, text), "scores")
+    known = thresholds(scored_by(trusted.select(trusted[lang], trusted[text]), scores, "__surprise", text, "own"), lang, "__surprise", quantile)
     known = small(cut(known, "thresholds"))
     every = known.where("l IS NULL").select(F.col("t").alias("__all"))
     general = (every.first() or {"__all": None})["__all"]
-    scored = surprise(docs, model, "__surprise", text, tuple(docs.columns) if keep is None else keep)
+    keep = tuple(docs.columns) if keep is None else keep
+    scored = scored_by(docs, scores, "__surprise", text).select(*[docs[k] for k in dict.fromkeys((*keep, lang))], "__surprise")
     own = known.where("l IS NOT NULL").select(F.col("l").alias("__l"), F.col("t").alias("__t"))
     out = scored.join(small(own), F.coalesce(scored[lang].cast("string"), F.lit("")) == F.col("__l"), "left")
     limit = F.coalesce(F.col("__t"), F.lit(general).cast("double"))
     kept = F.col("__surprise").isNotNull() & (limit.isNull() | (F.col("__surprise") < limit))
-    return out.withColumn("__threshold", limit).withColumn("__keep", kept).drop("__l", "__t")
+    return out.select(*[out[k] for k in keep], "__surprise", limit.alias("__threshold"), kept.alias("__keep"))
 
 
 def digest(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
