@@ -388,6 +388,16 @@ def token_segments(spark, sf_dir):
     return s.select("doc_id", F.array_max(F.transform("s", lambda x: x["segment"])).alias("last_segment"), (F.array_max(F.transform("s", lambda x: x["position"])) + 1).alias("longest"))
 
 
+@query("""WITH t AS (SELECT doc_id, unnest(list_transform(string_split(text, ' '), lambda w: ends_with(w, '.')::INT)) AS sep, generate_subscripts(string_split(text, ' '), 1) AS i FROM documents),
+  s AS (SELECT *, coalesce(sum(sep) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seg FROM t)
+  SELECT doc_id, max(seg)::INT AS last_segment, max(n)::INT AS longest FROM (SELECT doc_id, seg, count(*) AS n FROM s GROUP BY ALL) GROUP BY doc_id""")
+def token_segments_whole(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    ids = F.transform(F.split("text", " "), lambda w: F.when(w.endswith("."), 1012).otherwise(7))
+    s = d.select("doc_id", captions.token_segments(ids, (1012,)).alias("s"))
+    return s.select("doc_id", F.array_max(F.transform("s", lambda x: x["segment"])).alias("last_segment"), (F.array_max(F.transform("s", lambda x: x["position"])) + 1).alias("longest"))
+
+
 @query("""SELECT q.vec_id AS query, c.vec_id AS label, round(list_dot_product(q.embedding::DOUBLE[], c.embedding::DOUBLE[]), 6) AS similarity, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(q.embedding::DOUBLE[], c.embedding::DOUBLE[]) DESC, c.vec_id)::INT AS rank
   FROM embeddings q, embeddings c WHERE q.vec_id % 10 = 0 AND c.vec_id < 40 QUALIFY rank <= 5""")
 def similarity_topk(spark, sf_dir):
