@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import boxes, captions, frames, labels, rle, vectors
 from ..operators import align, coco, keys, match, metrics, postprocess, quality, sample, timeline
@@ -410,6 +411,18 @@ def similarity_topk(spark, sf_dir):
     return top.join(F.broadcast(ids), "label").select(F.col("image_id").alias("query"), F.col("vec_id").alias("label"), _r("score").alias("similarity"), "rank")
 
 
+@query("""SELECT q.vec_id AS query, c.vec_id AS label, round(list_dot_product(q.embedding::DOUBLE[], c.embedding::DOUBLE[]), 6) AS similarity, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(q.embedding::DOUBLE[], c.embedding::DOUBLE[]) DESC, c.vec_id)::INT AS rank
+  FROM embeddings q, embeddings c WHERE q.vec_id % 100 = 0 QUALIFY rank <= 5""")
+def similarity_topk_all(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    texts = e.groupBy(F.floor(F.col("vec_id") / 512).alias("block")).agg(F.array_sort(F.collect_list(F.struct("vec_id", "embedding"))).alias("t"))
+    q = e.where("vec_id % 100 = 0").crossJoin(texts)
+    scored = q.select("vec_id", "block", F.transform("t", lambda x: F.struct((-vectors.dot(F.col("embedding"), x["embedding"])).alias("d"), x["vec_id"].alias("label"))).alias("s"))
+    best = scored.select("vec_id", F.inline(F.slice(F.array_sort("s"), 1, 5)))  # five of each block at most
+    ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("vec_id").orderBy("d", "label"))).where("rank <= 5")
+    return ranked.select(F.col("vec_id").alias("query"), "label", _r(-F.col("d")).alias("similarity"), "rank")
+
+
 _RUNS = f"""(SELECT key_frame, rle, list_transform(string_split(rle, ' '), lambda x: x::INT) AS n FROM {sql("observations")})"""
 
 

@@ -14,3 +14,15 @@ def test_segments_after_the_sixtieth_word(spark, tmp_path):
             if w.endswith(".") and i + 1 < len(words):
                 sizes.append(0)
         assert (r["last_segment"], r["longest"]) == (len(sizes) - 1, max(sizes))
+
+
+def test_top_labels_of_all_rows(spark, tmp_path):
+    vecs = {i: [((i * 37 + k * k * 11) % 101 - 50) / 50 for k in range(6)] for i in range(1100)}
+    spark.createDataFrame(list(vecs.items()), "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    f = [r["embedding"] for r in spark.read.parquet(f"{tmp_path}/embeddings.parquet").orderBy("vec_id").collect()]
+    want = []
+    for q in range(0, 1100, 100):
+        best = sorted((-sum(a * b for a, b in zip(f[q], v, strict=True)), i) for i, v in enumerate(f))[:5]
+        want += [(q, i, round(-d, 4), n) for n, (d, i) in enumerate(best, 1)]
+    got = queries.QUERIES["similarity_topk_all"](spark, str(tmp_path)).collect()
+    assert sorted((r["query"], r["label"], round(r["similarity"], 4), r["rank"]) for r in got) == sorted(want)
