@@ -308,6 +308,13 @@ def frame_masks(spark, sf_dir):
     return align.frames_with_masks(want, o).select("part", "ep_idx", "event", "frame", "rle")
 
 
+@query(f"""WITH o AS {sql("observations")}, l AS (SELECT part, ep_idx, event, frame, rle FROM (SELECT *, row_number() OVER (PARTITION BY part, ep_idx, event, frame ORDER BY key_frame DESC) AS rn FROM o) WHERE rn = 1),
+  f AS (SELECT DISTINCT part, ep_idx, event, frame FROM o) SELECT f.part, f.ep_idx, f.event, f.frame, l.rle FROM f JOIN l USING (part, ep_idx, event, frame)""")
+def frame_masks_all(spark, sf_dir):
+    o = adapted(spark, sf_dir, "observations")
+    return align.frames_with_masks(o.select("part", "ep_idx", "event", "frame").distinct(), o).select("part", "ep_idx", "event", "frame", "rle")
+
+
 @query(f"""WITH o AS {sql("observations")}, r AS (SELECT DISTINCT part, ep_idx, frame, 'c' AS event FROM o), h AS (SELECT r.*, o.rle, row_number() OVER (PARTITION BY r.part, r.ep_idx, r.frame ORDER BY o.key_frame, o.event) AS rn
   FROM r JOIN o USING (part, ep_idx, frame) WHERE o.event = r.event OR contains(o.key_frame::VARCHAR || ',' || o.event, r.event)) SELECT part, ep_idx, frame, rle FROM h WHERE rn = 1""")
 def mask_lookup(spark, sf_dir):
@@ -625,6 +632,13 @@ def style_pivot(spark, sf_dir):
     return metrics.pivot_styles(l.withColumn("style", F.get(F.array(*map(F.lit, ("original", "simple", "aligned"))), F.col("l_linenumber") - 1)))
 
 
+@query("SELECT l_orderkey AS task, max(l_quantity) FILTER (l_linenumber % 3 = 1) AS original, max(l_quantity) FILTER (l_linenumber % 3 = 2) AS simple, max(l_quantity) FILTER (l_linenumber % 3 = 0) AS aligned, max(l_quantity) FILTER (l_linenumber % 3 = 0) - max(l_quantity) FILTER (l_linenumber % 3 = 1) AS gain FROM lineitem GROUP BY 1")
+def style_pivot_all(spark, sf_dir):
+    style = F.get(F.array(*map(F.lit, ("original", "simple", "aligned"))), ((F.col("l_linenumber") - 1) % 3).cast("int"))
+    l = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("task"), style.alias("style")).agg(F.max("l_quantity").alias("iou"))
+    return metrics.pivot_styles(l)
+
+
 _PROBS = "[l_discount * 8, l_tax * 10, (l_quantity - 1) / 60]"
 
 

@@ -26,3 +26,11 @@ def test_top_labels_of_all_rows(spark, tmp_path):
         want += [(q, i, round(-d, 4), n) for n, (d, i) in enumerate(best, 1)]
     got = queries.QUERIES["similarity_topk_all"](spark, str(tmp_path)).collect()
     assert sorted((r["query"], r["label"], round(r["similarity"], 4), r["rank"]) for r in got) == sorted(want)
+
+
+def test_all_line_numbers_have_a_style(spark, tmp_path):
+    rows = [(k, n, float((k * 7 + n * 13) % 29)) for k in range(20) for n in range(1, 2 + k % 7)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    for r in queries.QUERIES["style_pivot_all"](spark, str(tmp_path)).collect():
+        want = [max((q for k, n, q in rows if k == r["task"] and n % 3 == m), default=None) for m in (1, 2, 0)]
+        assert [r["original"], r["simple"], r["aligned"]] == want
