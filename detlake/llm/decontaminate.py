@@ -10,7 +10,8 @@ Candidates are then verified by exact containment of the shingles themselves.
 
 Words are runs of letters, marks and digits, lower-cased; a text of fewer than
 ``size`` words has one shingle, its whole sequence, and one without words none,
-so such an item matches nothing.  Null texts are empty.  A row is known by its
+so such an item matches nothing.  Documents are also probed with shingles of the
+lengths of such short items, so these are found inside longer documents.  Null texts are empty.  A row is known by its
 doc_id (null allowed) and its text; repeated rows give one result.  Repeated
 items are separate items.  Other columns are ignored, whatever their names.
 """
@@ -46,15 +47,16 @@ def shingle_hashes(h: Column, size: int = 5) -> Column:
     return F.transform(_starts(h, size), lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(size)]))
 
 
-def signatures(items: DataFrame, item: str, text: str, size: int, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(hash, item) rows of all signatures, and (item, shingles)."""
+def signatures(items: DataFrame, item: str, text: str, size: int, threshold: float) -> tuple[DataFrame, DataFrame, list[int]]:
+    """(hash, item) rows of all signatures, (item, shingles), and the lengths of items shorter than a shingle."""
     rows = items.select(F.col(item).alias("item_id"), words(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("w"), F.monotonically_increasing_id().alias("nth"))
-    rows = rows.select("item_id", "nth", shingles(F.col("w"), size).alias("shingles"), F.transform("w", lambda x: F.xxhash64(x)).alias("h"))
+    rows = rows.select("item_id", "nth", shingles(F.col("w"), size).alias("shingles"), F.transform("w", lambda x: F.xxhash64(x)).alias("h"), F.size("w").alias("words"))
     rows = rows.where(F.size("shingles") > 0)
-    rows = cut(rows.select("item_id", "nth", "shingles", F.array_sort(F.array_distinct(shingle_hashes(F.col("h"), size))).alias("h")), "items")
+    rows = cut(rows.select("item_id", "nth", "words", "shingles", F.array_sort(F.array_distinct(shingle_hashes(F.col("h"), size))).alias("h")), "items")
+    short = sorted(r["words"] for r in rows.where(F.col("words") < size).select("words").distinct().collect())
     upper = F.pow(F.lit(2.0), F.ceil(F.log2(F.size("h"))))
     least = (F.floor(F.round(upper * (1 - threshold), 6)) + 1).cast("int")
-    return rows.select(F.explode(F.slice("h", 1, least)).alias("hash"), "nth"), rows.select("nth", "item_id", "shingles")
+    return rows.select(F.explode(F.slice("h", 1, least)).alias("hash"), "nth"), rows.select("nth", "item_id", "shingles"), short
 
 
 def contained(docs: DataFrame, items: DataFrame, doc: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", size: int = 5, threshold: float = 0.8) -> DataFrame:
@@ -63,11 +65,11 @@ def contained(docs: DataFrame, items: DataFrame, doc: str = "doc_id", text: str
     Columns ``doc_id``, ``text_hash`` (with doc_id it names the row), ``item_id``,
     ``n_item``, ``n_shared`` (distinct shingles), ``containment``.
     """
-    sig, known = signatures(items, item, item_text, size, threshold)
+    sig, known, short = signatures(items, item, item_text, size, threshold)
     body = docs.select(docs[doc].alias("doc_id"), F.coalesce(docs[text].cast("string"), F.lit("")).alias("body"))
     body = body.withColumn("text_hash", F.xxhash64("body"))
     hashed = body.select("doc_id", "text_hash", F.transform(words(F.col("body")), lambda x: F.xxhash64(x)).alias("h"))
-    probes = hashed.select("doc_id", "text_hash", F.explode(shingle_hashes(F.col("h"), size)).alias("hash"))
+    probes = hashed.select("doc_id", "text_hash", F.explode(F.concat(*[shingle_hashes(F.col("h"), n) for n in (size, *short)])).alias("hash"))
     found = probes.join(small(sig), "hash").groupBy("doc_id", "text_hash", "nth").agg(F.count("*").alias("n"))
     found = cut(found.drop("n"), "candidates")
 
@@ -77,7 +79,7 @@ def contained(docs: DataFrame, items: DataFrame, doc: str = "doc_id", text: str
     few = small(keys)
     hit = body.join(few, same(body, few), "left_semi").dropDuplicates(["doc_id", "text_hash"])
     both = hit.join(asked, same(hit, asked)).select(hit["doc_id"], hit["text_hash"], words(hit["body"]).alias("w"), asked["items"])
-    both = both.select("doc_id", "text_hash", shingles(F.col("w"), size).alias("own"), "items")
+    both = both.select("doc_id", "text_hash", F.concat(*[shingles(F.col("w"), n) for n in (size, *short)]).alias("own"), "items")
     pairs = both.select(
         "doc_id", "text_hash",
         F.inline(F.transform("items", lambda x: F.struct(
