@@ -17,7 +17,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from detlake.llm import bpe, decontaminate, quality, secrets, simhash
+from detlake.llm import bpe, decontaminate, jaccard, quality, secrets
 from detlake.llm.common import cut, small, table
 
 HASH = "__text_hash"
@@ -63,8 +63,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 @_apart
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-duplicates, the document with the least id."""
-    found = cut(simhash.near_duplicates(docs), "near-duplicates")
+    """Of each component of near-duplicates (five-word shingles, similarity 0.8), the document with the least id."""
+    found = cut(jaccard.near_duplicates(docs), "near-duplicates")
     first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("m"))
     stay = small(cut(first.select(F.col("m.doc_id").alias("__id"), F.col("m.text_hash").alias("__hash")), "stay"))
     rows = _hashed(docs)
