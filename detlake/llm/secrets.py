@@ -4,7 +4,7 @@ Spans are found with Java regular expressions: the pieces between the matches
 of a pattern (``split``) and the matches themselves (``regexp_extract_all``)
 give every start and end by prefix sums, in code points, without a Python
 function.  Every candidate value is hashed; one aggregation counts in how many
-repositories and by how many owners each hash occurs.  A value seen with more
+repositories and by how many owners each hash occurs.  Only the owners decide.  A value seen with more
 than ``max_owners`` owners is a widely copied example; the others are
 owner-specific and, with letters of both cases and digits, look live.
 
