@@ -8,11 +8,15 @@ A probability is a sum of looked-up values: with D(g) = log p(g) - log gamma(con
 of g) - log p(g without its first symbol) for seen n-grams, and 0 for unseen
 ones, log p is the sum of D over an n-gram and its endings, and of log gamma over
 its contexts.  An n-gram that ends at one symbol is the context of the next, so
-D + log gamma is one value a key, and a text's log probability is the sum over its
-distinct n-grams of all orders of (times it occurs) x value.  Texts are gathered
-in blocks; a block's distinct n-grams, each with its texts and counts, go to the
-shards of the model by ranges of a 48-bit hash, and one vector of partial sums
-comes back from each task.
+D + log gamma is one value a key, and a symbol's log probability is the sum of the
+values of the n-grams of all orders that end there.
+
+Scoring joins the documents' n-grams with the sharded model both ways.  Texts are
+packed in blocks of ``BLOCK`` symbols; a block asks each shard (a range of a 48-bit
+hash) for its distinct n-grams once, however many texts hold them, the shard
+answers with their values, and the answers meet the block again.  What is sent for
+a block grows with its distinct n-grams, its texts move once and compressed, and
+no task holds more than a block or a shard.
 
 A second score, for texts the model was trained on (``own``), takes n-grams that
 occur nowhere else as unseen: else a text would be judged by itself.
@@ -23,6 +27,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
@@ -34,8 +39,8 @@ from .common import cut, resident, width
 N, SYMBOLS = 5, 0x110000
 #: Before a text, after it, and what stands for NUL: noncharacters.
 BEFORE, AFTER, NUL = 0x10FFFE, 0x10FFFF, 0x10FFFD
-#: Symbols and texts of a block, at most; bits of a key and those that name its shard.
-BLOCK, TEXTS, KEY, SHARD = 1 << 20, 1 << 16, 48, 8
+#: Symbols of a block, at most; bits of a key and those that name its shard; symbols hashed at once.
+BLOCK, KEY, SHARD, STEP = 1 << 23, 48, 8, 1 << 20
 TIMES = np.random.default_rng(9).integers(1 << 62, 1 << 63, N + 1, "u8") | np.uint64(1)
 
 
@@ -56,13 +61,17 @@ def _key(h: np.ndarray, k: int) -> np.ndarray:
     return x >> np.uint64(64 - KEY)
 
 
-def keys(a: np.ndarray):
-    """For each order k the keys of the n-grams that end at every symbol (those before the k-th are void)."""
-    a = a.astype("u8")
-    h = np.zeros(len(a), "u8")
-    for k in range(N):
-        h[k:] += a[: len(a) - k] * TIMES[k]
-        yield _key(h, k + 1)
+def tops(a: np.ndarray) -> np.ndarray:
+    """The key of the n-gram of order ``N`` that ends at every symbol (the first ``N`` - 1 are void)."""
+    out = np.zeros(len(a), "u8")
+    for at in range(N - 1, len(a), STEP):
+        part = a[at - (N - 1) : at + STEP].astype("u8")
+        n = len(part) - (N - 1)
+        h = np.zeros(n, "u8")
+        for k in range(N):
+            h += part[N - 1 - k : N - 1 - k + n] * TIMES[k]
+        out[at : at + n] = _key(h, N)
+    return out
 
 
 def keys_of(grams: list[str]) -> np.ndarray:
@@ -90,22 +99,41 @@ class _Blocks:
         a = symbols(text)
         for nth, at in enumerate(range(N - 1, len(a), BLOCK)):
             part = a[at - (N - 1) : at + BLOCK]
-            if self.parts and (self.size + len(part) > BLOCK or len(self.ids) >= TEXTS):
+            if self.parts and self.size + len(part) > BLOCK:
                 yield
                 self.clear()
             self.parts.append(part)
-            self.ids.append((name, nth, len(part) - (N - 1) - (nth == 0)))  # the first symbol is a mark, never asked for
+            self.ids.append((name, nth, len(part) - (N - 1) - (nth == 0), len(part)))  # the first symbol is a mark, never asked for
             self.size += len(part)
 
-    def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Symbols, the text of each, and where an n-gram of the text ends."""
-        sizes = np.array([len(p) for p in self.parts])
-        doc = np.repeat(np.arange(len(sizes), dtype="u8"), sizes)
-        ends = np.ones(len(doc), bool)
-        starts = np.cumsum(sizes) - sizes
-        for k in range(N - 1):
-            ends[starts + k] = False
-        return np.concatenate(self.parts), doc, ends
+
+def ends_of(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The text of every symbol of a block, and where an n-gram of the text ends."""
+    doc = np.repeat(np.arange(len(sizes), dtype="i4"), sizes)
+    ends = np.ones(len(doc), bool)
+    starts = np.cumsum(sizes) - sizes
+    for k in range(N - 1):
+        ends[starts + k] = False
+    return doc, ends
+
+
+def distinct(a: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the n-grams of order ``N`` that end at ``at``: the number of each, and the distinct ones as rows of symbols."""
+    code, found = pd.factorize(tops(a)[at])
+    code = code.astype("i4")
+    first = np.zeros(len(found), "i8")
+    first[code[::-1]] = at[::-1]
+    return code, a[first[:, None] + np.arange(1 - N, 1)]
+
+
+def all_orders(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted keys of the n-grams and of all their endings, and the places of those of order 1, 2, ... among them."""
+    h, each = np.zeros(len(grams), "u8"), []
+    for k in range(N):
+        h += grams[:, N - 1 - k].astype("u8") * TIMES[k]
+        each.append(_key(h, k + 1))
+    known = np.unique(np.concatenate(each)) if len(grams) else np.zeros(0, "u8")
+    return known, np.array([np.searchsorted(known, x) for x in each])
 
 
 def _texts(docs: DataFrame, text: str) -> DataFrame:
@@ -121,19 +149,20 @@ def count(docs: DataFrame, text: str = "text") -> DataFrame:
         held = _Blocks()
 
         def close():
-            a, _, ends = held.arrays()
-            *_, top = keys(a)
-            at = np.flatnonzero(ends & (a != BEFORE))
-            _, first, n = np.unique(top[at], return_index=True, return_counts=True)
-            grams = np.ascontiguousarray(a[at[first][:, None] + np.arange(1 - N, 1)])
-            return pa.RecordBatch.from_arrays([pa.array(grams.view(f"<U{N}")[:, 0].tolist(), pa.string()), pa.array(n, pa.int64())], ["g", "c"])
+            a = np.concatenate(held.parts)
+            _, ends = ends_of(np.array([len(p) for p in held.parts]))
+            code, found = distinct(a, np.flatnonzero(ends & (a != BEFORE)))
+            n = np.bincount(code, minlength=len(found))
+            for i in range(0, len(found), 100_000):
+                grams = np.ascontiguousarray(found[i : i + 100_000]).view(f"<U{N}")[:, 0]
+                yield pa.RecordBatch.from_arrays([pa.array(grams.tolist(), pa.string()), pa.array(n[i : i + 100_000], pa.int64())], ["g", "c"])
 
         for batch in batches:
             for h, t in zip(batch.column("h"), batch.column("t"), strict=True):
                 for _ in held.add(h.as_py(), t.as_py()):
-                    yield close()
+                    yield from close()
         if held.parts:
-            yield close()
+            yield from close()
 
     return _texts(docs, text).mapInArrow(run, "g string, c long").groupBy("g").agg(F.sum("c").alias("c"))
 
@@ -178,64 +207,43 @@ def _planes(x: np.ndarray, n: int) -> bytes:
     return np.ascontiguousarray(x.view("u1").reshape(len(x), -1)[:, :n].T).tobytes()
 
 
-def _numbers(raw: memoryview, at: int, count_: int, n: int, kind: str) -> tuple[np.ndarray, int]:
-    out = np.zeros((count_, np.dtype(kind).itemsize), "u1")
-    out[:, :n] = np.frombuffer(raw, "u1", count_ * n, at).reshape(n, count_).T
-    return out.view(kind)[:, 0], at + count_ * n
+def _numbers(raw: bytes, at: int, n: int, width_: int, kind: str) -> np.ndarray:
+    """``n`` numbers of a kind from their ``width_`` lower bytes, which begin at ``at``."""
+    out = np.zeros((n, np.dtype(kind).itemsize), "u1")
+    out[:, :width_] = np.frombuffer(raw, "u1", n * width_, at).reshape(width_, n).T
+    return out.view(kind)[:, 0]
 
 
 LOW = KEY - SHARD
+#: Occurrences are sent back up to this many; a block holds fewer.
+MOST = (1 << 24) - 1
 
 
-def pack(code: np.ndarray, texts: int, squeeze) -> list[tuple[int, bytes]]:
-    """(shard, bytes) of a block from the sorted numbers key << 16 | text of its n-grams."""
-    at = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
-    n = np.diff(at, append=len(code)).astype("u4")
-    key, doc = code[at] >> np.uint64(16), (code[at] & np.uint64(0xFFFF)).astype("u2")
-    bounds = np.searchsorted(key, np.arange((1 << SHARD) + 1, dtype="u8") << np.uint64(LOW)).tolist()
-    out = []
-    for shard, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
-        if a < b:
-            first = np.flatnonzero(np.concatenate([[True], key[a + 1 : b] != key[a : b - 1]]))
-            mine = key[a:b][first] & np.uint64((1 << LOW) - 1)
-            per = np.diff(first, append=b - a).astype("u4")
-            head = np.array([len(first), b - a, texts], "u4").tobytes()
-            gap = np.diff(doc[a:b], prepend=np.uint16(0))
-            gap[first] = doc[a:b][first]
-            out.append((shard, squeeze(head + _planes(np.diff(mine, prepend=np.uint64(0)), LOW // 8) + _planes(per, 3) + _planes(gap, 2) + _planes(n[a:b], 3))))
-    return out
+def pack(known: np.ndarray, squeeze) -> list[tuple[int, bytes]]:
+    """(shard, bytes) of the sorted keys a block asks for."""
+    bounds = np.searchsorted(known, np.arange((1 << SHARD) + 1, dtype="u8") << np.uint64(LOW)).tolist()
+    low = known & np.uint64((1 << LOW) - 1)
+    return [(s, squeeze(_planes(np.diff(low[a:b], prepend=np.uint64(0)), LOW // 8))) for s, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)) if a < b]
 
 
-def unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
-    """Keys, texts of each, the texts, the counts, and how many texts the block has."""
-    k, m, texts = np.frombuffer(raw, "u4", 3).tolist()
-    key, at = _numbers(raw, 12, k, LOW // 8, "u8")
-    per, at = _numbers(raw, at, k, 3, "u4")
-    gap, at = _numbers(raw, at, m, 2, "u2")
-    run, first = np.cumsum(gap, dtype="i8"), np.cumsum(per, dtype="i8") - per
-    doc = run - np.repeat(run[first] - gap[first], per)
-    n, at = _numbers(raw, at, m, 3, "u4")
-    return np.cumsum(key, dtype="u8"), per, doc, n, texts
+def unpack(raw: bytes) -> np.ndarray:
+    """The keys of one shard, without the bits that name it."""
+    return np.cumsum(_numbers(raw, 0, len(raw) // (LOW // 8), LOW // 8, "u8"), dtype="u8")
 
 
-def _asked(docs: DataFrame, text: str) -> DataFrame:
-    """Packed blocks (kind 2), and a head of each with its texts (kind 1)."""
+def _packed(docs: DataFrame, text: str) -> DataFrame:
+    """(block, ids, data): texts by blocks, compressed."""
 
     def run(batches):
         resident("quality")
-        squeeze = zstandard.ZstdCompressor(level=1).compress
+        squeeze = zstandard.ZstdCompressor(level=5).compress
         held, made, task = _Blocks(), 0, TaskContext.get().partitionId()
 
         def close():
             nonlocal made
-            a, doc, ends = held.arrays()
-            doc = doc[ends]
-            code = np.concatenate([k[ends] << np.uint64(16) | doc for k in keys(a)])
-            code.sort()
+            whole = np.concatenate(held.parts).astype("<u4").tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
             block, made = task << 32 | made, made + 1
-            rows = [(made % (1 << SHARD), 1, np.array(held.ids, "i8").tobytes()), *((s, 2, x) for s, x in pack(code, len(held.ids), squeeze))]
-            shard, kind, data = zip(*rows, strict=True)
-            return pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), pa.array(kind, pa.int32()), pa.array([block] * len(rows), pa.int64()), pa.array(data, pa.binary())], ["shard", "kind", "block", "data"])
+            return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([np.array(held.ids, "i8").tobytes()], pa.binary()), pa.array([squeeze(whole)], pa.binary())], ["block", "ids", "data"])
 
         for batch in batches:
             for h, t in zip(batch.column("h"), batch.column("t"), strict=True):
@@ -244,7 +252,32 @@ def _asked(docs: DataFrame, text: str) -> DataFrame:
         if held.parts:
             yield close()
 
-    return _texts(docs, text).mapInArrow(run, "shard int, kind int, block long, data binary")
+    return _texts(docs, text).mapInArrow(run, "block long, ids binary, data binary")
+
+
+def _opened(ids: bytes, data: bytes) -> tuple[np.ndarray, ...]:
+    """The names of a block's texts, the text of every n-gram, the number of each, and the distinct ones."""
+    ids = np.frombuffer(ids, "i8").reshape(-1, 4)
+    whole = zstandard.ZstdDecompressor().decompress(data).decode("utf-8", "surrogatepass")
+    a = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), "<u4")
+    doc, ends = ends_of(ids[:, 3])
+    at = np.flatnonzero(ends)
+    return ids, doc[at], *distinct(a, at)
+
+
+def _asked(packed: DataFrame) -> DataFrame:
+    """(shard, block, data): the distinct n-grams of all orders that a block asks a shard for (kind 1)."""
+
+    def run(batches):
+        resident("quality")
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            for block, ids, data in zip(*(batch.column(c) for c in ("block", "ids", "data")), strict=True):
+                known, _ = all_orders(_opened(ids.as_py(), data.as_py())[3])
+                shards, rows = zip(*pack(known, squeeze), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array([1] * len(rows), pa.int32()), pa.array([block.as_py()] * len(rows), pa.int64()), pa.array(rows, pa.binary())], ["shard", "kind", "block", "data"])
+
+    return packed.mapInArrow(run, "shard int, kind int, block long, data binary")
 
 
 def _shards(model: DataFrame) -> DataFrame:
@@ -253,7 +286,7 @@ def _shards(model: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             key = keys_of(batch.column("g").to_pylist())
-            v, r = batch.column("v").to_numpy(), batch.column("r").fill_null(1 << 62).to_numpy()
+            v, r = batch.column("v").to_numpy(), batch.column("r").fill_null(MOST).to_numpy()
             shard = key >> np.uint64(LOW)
             order = np.argsort(shard, kind="stable")
             bounds = np.searchsorted(shard[order], np.arange((1 << SHARD) + 1, dtype="u8")).tolist()
@@ -264,69 +297,71 @@ def _shards(model: DataFrame) -> DataFrame:
     return model.select("g", "v", "r").mapInArrow(run, "shard int, kind int, block long, data binary")
 
 
-def surprise(docs: DataFrame, model: DataFrame, base: float, text: str = "text") -> DataFrame:
-    """(h, s, own) for every distinct text that is not empty: its xxhash64 and mean negative log probabilities."""
+def _answered(rows: DataFrame) -> DataFrame:
+    """(block, shard, data): for each n-gram asked for its value (0 if the model lacks it) and occurrences; rows of a shard come model first."""
 
-    def look_up(batches):
+    def run(batches):
         resident("quality")
-        open_ = zstandard.ZstdDecompressor().decompress
-        loaded: dict[int, list] = {}
-        tables: dict[int, tuple] = {}
-        block, sums = None, None
-
-        def table(shard):
-            if shard not in tables:
-                parts = [np.frombuffer(x, "u8").reshape(3, -1) for x in loaded.pop(shard, [])] or [np.zeros((3, 0), "u8")]
-                key, v, r = np.concatenate(parts, axis=1)
-                order = np.argsort(key)
-                tables[shard] = (np.append(key[order], np.uint64(1 << 63)), np.append(v[order].view("f8"), 0.0), np.append(r[order].view("i8"), 0))
-            return tables[shard]
-
-        def row(block, kind, data):
-            return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([kind], pa.int32()), pa.array([data], pa.binary())], ["block", "kind", "data"])
-
+        open_, squeeze = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor(level=3).compress
+        last, parts, table = None, [], None
         for batch in batches:
-            for shard, kind, at, data in zip(*(batch.column(c).to_pylist() for c in ("shard", "kind", "block", "data")), strict=True):
+            out = []
+            for shard, kind, block, data in zip(*(batch.column(c).to_pylist() for c in ("shard", "kind", "block", "data")), strict=True):
+                if shard != last:
+                    last, parts, table = shard, [], None
                 if kind == 0:
-                    loaded.setdefault(shard, []).append(data)
-                elif kind == 1:
-                    yield row(at, 1, data)
-                else:
-                    key, per, doc, n, texts = unpack(open_(data))
-                    known, v, r = table(shard)
-                    i = np.searchsorted(known, key)
-                    value = np.repeat(np.where(known[i] == key, v[i], 0.0), per) * n
-                    got = np.stack([np.bincount(doc, value, texts), np.bincount(doc, value * (n < np.repeat(r[i], per)), texts)])
-                    if at != block:
-                        if block is not None:
-                            yield row(block, 2, sums.astype("f4").tobytes())
-                        block, sums = at, got
-                    else:
-                        sums += got
-        if block is not None:
-            yield row(block, 2, sums.astype("f4").tobytes())
-
-    def add_up(batches):
-        block, ids, sums = None, None, 0.0
-
-        def close():
-            both = np.zeros((2, len(ids))) + sums
-            return pa.RecordBatch.from_arrays([*(pa.array(x) for x in ids.T), *(pa.array(x) for x in both)], ["h", "nth", "n", "s", "own"])
+                    parts.append(np.frombuffer(data, "u8").reshape(3, -1))
+                    continue
+                if table is None:
+                    key, v, r = np.concatenate(parts, axis=1) if parts else np.zeros((3, 0), "u8")
+                    order = np.argsort(key)
+                    table, parts = (np.append(key[order], np.uint64(1 << 63)), np.append(v[order].view("f8"), 0.0).astype("f4"), np.append(np.minimum(r[order].view("i8"), MOST), 0).astype("u4")), []
+                key = unpack(open_(data))
+                at = np.searchsorted(table[0], key)
+                at[table[0][at] != key] = len(table[0]) - 1
+                out.append((block, shard, squeeze(_planes(table[1][at], 4) + _planes(table[2][at], 3))))
+            if out:
+                blocks, shards, answers = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(shards, pa.int32()), pa.array(answers, pa.binary())], ["block", "shard", "data"])
+
+    return rows.mapInArrow(run, "block long, shard int, data binary")
+
+
+def block_scores(ids: bytes, data: bytes, answers: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The texts of a block with the sums of their log probabilities, of both kinds; ``answers`` in the order of shards."""
+    ids, doc, code, grams = _opened(ids, data)
+    known, place = all_orders(grams)
+    got = [(_numbers(x, 0, len(x) // 7, 4, "f4"), _numbers(x, 4 * (len(x) // 7), len(x) // 7, 3, "u4")) for x in map(zstandard.ZstdDecompressor().decompress, answers)]
+    value, seen = (np.concatenate(x) for x in zip(*got, strict=True))
+    if len(value) != len(known):
+        raise RuntimeError("a block's answers are not those it asked for")
+    value = value.astype("f8")
+    score = np.bincount(doc, value[place].sum(0)[code], len(ids))
+    lost = np.zeros(len(ids))
+    for at in place:  # an n-gram none of whose occurrences lie outside the block may be held by one text only
+        times = np.bincount(at[code], minlength=len(known)) if len(known) else seen
+        rare = (times >= seen) & (seen > 0)
+        mine = np.flatnonzero(rare[at][code])
+        pairs, n = np.unique(doc[mine].astype("i8") << 32 | at[code[mine]], return_counts=True)
+        holder, key = pairs >> 32, pairs & 0xFFFFFFFF
+        alone = n >= seen[key]
+        lost += np.bincount(holder[alone], (value[key] * n)[alone], len(ids))
+    return ids, score, score - lost
 
-        for batch in batches:
-            for at, kind, data in zip(*(batch.column(c).to_pylist() for c in ("block", "kind", "data")), strict=True):
-                if kind == 1:
-                    if block is not None:
-                        yield close()
-                    block, ids, sums = at, np.frombuffer(data, "i8").reshape(-1, 3), 0.0
-                else:
-                    sums = sums + np.frombuffer(data, "f4").astype("f8").reshape(2, -1)
-        if block is not None:
-            yield close()
 
-    tasks = max(16, width(docs) // 3)  # every task sends eight bytes a text back
-    asked = _shards(model).union(_asked(docs, text)).repartition(tasks, "shard").sortWithinPartitions("kind", "block", "shard")
-    sums = asked.mapInArrow(look_up, "block long, kind int, data binary")
-    sums = sums.repartition(tasks, "block").sortWithinPartitions("block", "kind")
-    parts = sums.mapInArrow(add_up, "h long, nth long, n long, s double, own double").groupBy("h", "nth").agg(*[F.max(c).alias(c) for c in ("n", "s", "own")])
+def surprise(docs: DataFrame, model: DataFrame, base: float, text: str = "text") -> DataFrame:
+    """(h, s, own) for every distinct text that is not empty: its xxhash64 and mean negative log probabilities."""
+    packed = _packed(docs, text).repartition(width(docs), "block")  # asked and scored: the exchange is used twice
+    asked = _shards(model).union(_asked(packed)).repartition(width(docs), "shard").sortWithinPartitions("shard", "kind", "block")
+    answers = _answered(asked)
+
+    def add_up(blocks: pa.Table, found: pa.Table) -> pa.Table:
+        out = []
+        for ids, data in zip(blocks.column("ids"), blocks.column("data"), strict=True):
+            named, score, own = block_scores(ids.as_py(), data.as_py(), found.sort_by("shard").column("data").to_pylist())
+            out.append((named[:, 0], named[:, 1], named[:, 2], score, own))
+        return pa.table([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["h", "nth", "n", "s", "own"])
+
+    scored = packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(add_up, "h long, nth long, n long, s double, own double")
+    parts = scored.groupBy("h", "nth").agg(*[F.max(c).alias(c) for c in ("n", "s", "own")])
     return parts.groupBy("h").agg(*[(-F.sum(c) / F.sum("n") - base).alias(c) for c in ("s", "own")])

@@ -13,87 +13,18 @@ document counts with the n-grams that only it holds as unseen.
 A null language is a language of its own.  An empty or null text has no
 perplexity and is rejected.  Without trusted text nothing is rejected but empty
 texts.  Repeated rows are judged alike; other columns pass through.
-
-``train`` and ``surprise`` are a small model with a dense table over ``V`` = 40
-folded symbols, for comparison only: :func:`classify` doesn't use them.
 """
 
 from __future__ import annotations
 
-import unicodedata
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from . import ngrams
-from .common import cut, resident, small
-
-V, ORDER, QUANTILE, BIN = 40, 4, 0.995, 0.001
-_table: list[np.ndarray] = []
-
-
-def symbols() -> np.ndarray:
-    """The symbol of every code point; 0 is kept for what stands before a text."""
-    if not _table:
-        of = np.full(0x110000, 39, "u1")
-        for c in range(0x2000):
-            ch = chr(c)
-            kind = unicodedata.category(ch)
-            if "a" <= ch <= "z":
-                of[c] = 1 + c - ord("a")
-            elif kind in ("Lu", "Lt"):
-                of[c] = 27
-            elif ch == " ":
-                of[c] = 28
-            elif ch.isspace():
-                of[c] = 29
-            elif kind == "Nd":
-                of[c] = 30
-            elif ch in ".,":
-                of[c] = 31 + ".,".index(ch)
-            elif c < 128:
-                of[c] = 33
-            elif kind[0] in "LM":
-                of[c] = 34 + c % 5
-        _table.append(of)
-    return _table[0]
-
-
-def codes(text: str) -> np.ndarray:
-    """The n-gram that ends at each character, as a number with base V."""
-    a = symbols()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")].astype("i4")
-    a = np.concatenate([np.zeros(ORDER - 1, "i4"), a])
-    n = len(a) - ORDER + 1
-    out = np.zeros(n, "i4")
-    for k in range(ORDER):
-        out = out * V + a[k : k + n]
-    return out
-
-
-def _texts(docs: DataFrame, text: str) -> DataFrame:
-    return docs.select(F.coalesce(docs[text].cast("string"), F.lit("")).alias("t"))
-
-
-def count_ngrams(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(code, c) over all texts; each task sends a distinct n-gram once."""
-
-    def run(batches):
-        resident("quality")
-        sums = np.zeros(V**ORDER, "i8")
-        for batch in batches:
-            for t in batch.column("t"):
-                got, n = np.unique(codes(t.as_py()), return_counts=True)
-                sums[got] += n
-        at = np.flatnonzero(sums)
-        for i in range(0, len(at), 100_000):
-            part = at[i : i + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype("i8")), pa.array(sums[part])], ["code", "c"])
-
-    return _texts(docs, text).mapInArrow(run, "code long, c long").groupBy("code").agg(F.sum("c").alias("c"))
+from .common import cut, small
+
+QUANTILE, BIN = 0.995, 0.001
 
 
 def _discounts(counts: DataFrame) -> list[float]:
@@ -104,69 +35,6 @@ def _discounts(counts: DataFrame) -> list[float]:
     return [min(max(j - (j + 1) * y * n[j + 1] / n[j] if n[j] else 0.0, 0.05), j) for j in (1, 2, 3)]
 
 
-def kneser_ney(counts: DataFrame) -> DataFrame:
-    """Rows (order, code, alpha) of seen n-grams and (order, ctx, gamma) of their contexts.
-
-    Below the highest order an n-gram counts the symbols seen before it.
-    """
-    parts, table = [], counts
-    for k in range(ORDER, 0, -1):
-        table = cut(table, f"order-{k}")
-        d1, d2, d3 = _discounts(table)
-        off = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
-        rows = table.select("code", F.col("c").cast("double").alias("c"), off.alias("off"), F.floor(F.col("code") / V).alias("ctx"))
-        totals = rows.groupBy("ctx").agg(F.sum("c").alias("total"), F.sum("off").alias("freed"))
-        joined = rows.join(totals, "ctx")
-        parts.append(joined.select(F.lit(k).alias("order"), "code", F.lit(None).cast("long").alias("ctx"), ((F.col("c") - F.col("off")) / F.col("total")).alias("p")))
-        parts.append(totals.select(F.lit(k).alias("order"), F.lit(None).cast("long").alias("code"), "ctx", (F.col("freed") / F.col("total")).alias("p")))
-        table = table.groupBy((F.col("code") % V ** (k - 1)).alias("code")).agg(F.count("*").alias("c"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return out
-
-
-def dense(rows) -> np.ndarray:
-    """Log probabilities of all n-grams of the highest order, from the rows of :func:`kneser_ney`."""
-    p = np.full(1, 1.0 / V)
-    for k in range(1, ORDER + 1):
-        mine = rows[rows["order"] == k]
-        lower = np.tile(p.reshape(-1, V), (V, 1)) if k > 1 else np.full((1, V), 1.0 / V)
-        if k == 2:
-            lower = np.tile(p.reshape(1, V), (V, 1))
-        gamma, alpha = np.ones(V ** (k - 1)), np.zeros(V**k)
-        ctx, seen = mine[mine["ctx"].notna()], mine[mine["code"].notna()]
-        gamma[ctx["ctx"].to_numpy("i8")] = ctx["p"].to_numpy()
-        alpha[seen["code"].to_numpy("i8")] = seen["p"].to_numpy()
-        p = (alpha.reshape(-1, V) + gamma[:, None] * lower).reshape(-1)
-    return np.log(p).astype("f4")
-
-
-def train(trusted: DataFrame, text: str = "text") -> np.ndarray:
-    """Log probabilities of all n-grams, from every trusted text."""
-    return dense(kneser_ney(count_ngrams(trusted, text)).toPandas())  # at most 40^4 rows and their contexts
-
-
-def surprise(docs: DataFrame, model: np.ndarray, name: str, text: str = "text", keep: tuple[str, ...] | None = None) -> DataFrame:
-    """``keep`` columns (all, if not given) and the mean negative log probability ``name`` (null: empty text)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    keep = tuple(docs.columns) if keep is None else keep
-    rows = docs.select(*[docs[k] for k in keep], F.coalesce(docs[text].cast("string"), F.lit("")).alias("__t"))
-    schema = T.StructType([*[rows.schema[k] for k in keep], T.StructField(name, T.DoubleType())])
-
-    def run(batches):
-        resident("quality")
-        logp = shared.value
-        for batch in batches:
-            out = []
-            for t in batch.column("__t"):
-                c = codes(t.as_py())
-                out.append(float(-logp[c].mean(dtype="f8")) if len(c) else None)
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), pa.array(out, pa.float64())], schema.names)
-
-    return rows.mapInArrow(run, schema)
-
-
 def thresholds(scored: DataFrame, lang: str, score: str, quantile: float = QUANTILE) -> DataFrame:
     """(language or null for all, threshold): the least bin edge with ``quantile`` of the scores below it."""
     bins = scored.where(F.col(score).isNotNull()).groupBy(F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("l"), F.floor(F.col(score) / BIN).alias("b")).agg(F.count("*").alias("n"))

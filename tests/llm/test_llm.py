@@ -342,54 +342,6 @@ def test_recall_against_brute_force(spark):
 # ---- 9 quality
 
 
-def plain_kneser_ney(texts):
-    """Interpolated modified Kneser-Ney with dictionaries."""
-    from collections import Counter
-
-    V, N, sym = quality.V, quality.ORDER, quality.symbols()
-    counts = Counter()
-    for t in texts:
-        a = [0] * (N - 1) + [int(sym[ord(c)]) for c in t]
-        counts.update(tuple(a[i : i + N]) for i in range(len(a) - N + 1))
-    levels = {N: counts}
-    for k in range(N - 1, 0, -1):
-        levels[k] = Counter(g[1:] for g in levels[k + 1])
-    model = {}
-    for k, c in levels.items():
-        n = [0, *(sum(v == j for v in c.values()) for j in (1, 2, 3, 4))]
-        y = n[1] / max(1, n[1] + 2 * n[2])
-        d = [0, *(min(max(j - (j + 1) * y * n[j + 1] / n[j] if n[j] else 0, .05), j) for j in (1, 2, 3))]
-        total, freed = Counter(), Counter()
-        for g, v in c.items():
-            total[g[:-1]] += v
-            freed[g[:-1]] += d[min(v, 3)]
-        model[k] = (c, d, total, freed)
-
-    def p(g):
-        if not g:
-            return 1 / V
-        c, d, total, freed = model[len(g)]
-        low = p(g[1:])
-        t = total[g[:-1]]
-        return low if not t else (c[g] - d[min(c[g], 3)] if c[g] else 0) / t + freed[g[:-1]] / t * low
-
-    def surprise(t):
-        a = [0] * (N - 1) + [int(sym[ord(c)]) for c in t]
-        return -sum(math.log(p(tuple(a[i : i + N]))) for i in range(len(a) - N + 1)) / len(t)
-
-    return surprise
-
-
-def test_kneser_ney_against_dictionaries(spark):
-    texts = [words(60, i).replace("1", "é") + ". Ok,\n" for i in range(8)]
-    model = quality.train(docs(spark, list(enumerate(texts))))
-    plain = plain_kneser_ney(texts)
-    asked = texts[:2] + ["ZZZ!! QQQ!!", "neu ßä 漢 x", "a"]
-    got = {r["doc_id"]: r["s"] for r in quality.surprise(docs(spark, list(enumerate(asked))), model, "s", keep=("doc_id",)).collect()}
-    assert all(got[i] == pytest.approx(plain(t), rel=1e-5) for i, t in enumerate(asked))
-    assert np.allclose(np.exp(model.astype("f8")).reshape(-1, quality.V).sum(1), 1, atol=1e-4)
-
-
 def test_quality_by_language(spark):
     rows = [(i, words(40, i) + ".", ["en", "de", None][i % 3]) for i in range(120)]
     junk = [(500 + i, "".join(f"{w.upper()}!! " for w in words(40, 900 + i).split()), "en") for i in range(20)]

@@ -4,6 +4,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,10 +57,14 @@ def test_long_texts_go_on_in_further_blocks(monkeypatch):
         held, found, asked = ngrams._Blocks(), Counter(), 0
 
         def take():
-            a, doc, at = held.arrays()
-            for k in ngrams.keys(a):
-                found.update((held.ids[d][0], x) for d, x in zip(doc[at].tolist(), k[at].tolist()))
-            return sum(n for _, _, n in held.ids)
+            a = np.concatenate(held.parts)
+            doc, ends = ngrams.ends_of(np.array([len(p) for p in held.parts]))
+            at = np.flatnonzero(ends)
+            code, grams = ngrams.distinct(a, at)
+            known, place = ngrams.all_orders(grams)
+            for k in place:
+                found.update((held.ids[d][0], x) for d, x in zip(doc[at].tolist(), known[k][code].tolist()))
+            return sum(n for _, _, n, _ in held.ids)
 
         for i, t in enumerate([words(40), "", "x" * 49, words(9, 1), "漢"]):
             for _ in held.add(i, t):
