@@ -119,7 +119,9 @@ def ends_of(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def distinct(a: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of the n-grams of order ``N`` that end at ``at``: the number of each, and the distinct ones as rows of symbols."""
-    code, found = pd.factorize(tops(a)[at])
+    top = tops(a)[at]
+    code, found = pd.factorize(top)
+    del top
     code = code.astype("i4")
     first = np.zeros(len(found), "i8")
     first[code[::-1]] = at[::-1]
@@ -258,10 +260,9 @@ def _packed(docs: DataFrame, text: str) -> DataFrame:
 def _opened(ids: bytes, data: bytes) -> tuple[np.ndarray, ...]:
     """The names of a block's texts, the text of every n-gram, the number of each, and the distinct ones."""
     ids = np.frombuffer(ids, "i8").reshape(-1, 4)
-    whole = zstandard.ZstdDecompressor().decompress(data).decode("utf-8", "surrogatepass")
-    a = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), "<u4")
+    a = np.frombuffer(zstandard.ZstdDecompressor().decompress(data).decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), "<u4")
     doc, ends = ends_of(ids[:, 3])
-    at = np.flatnonzero(ends)
+    at = np.flatnonzero(ends).astype("i4")
     return ids, doc[at], *distinct(a, at)
 
 
@@ -336,11 +337,14 @@ def block_scores(ids: bytes, data: bytes, answers: list[bytes]) -> tuple[np.ndar
     if len(value) != len(known):
         raise RuntimeError("a block's answers are not those it asked for")
     value = value.astype("f8")
-    score = np.bincount(doc, value[place].sum(0)[code], len(ids))
-    lost = np.zeros(len(ids))
+    whole, score, lost = value[place].sum(0), np.zeros(len(ids)), np.zeros(len(ids))
+    often = np.zeros(len(grams))
+    for i in range(0, len(code), STEP):
+        part = code[i : i + STEP]
+        score += np.bincount(doc[i : i + STEP], whole[part], len(ids))
+        often += np.bincount(part, minlength=len(grams))
     for at in place:  # an n-gram none of whose occurrences lie outside the block may be held by one text only
-        times = np.bincount(at[code], minlength=len(known)) if len(known) else seen
-        rare = (times >= seen) & (seen > 0)
+        rare = (np.bincount(at, often, len(known)) >= seen) & (seen > 0)
         mine = np.flatnonzero(rare[at][code])
         pairs, n = np.unique(doc[mine].astype("i8") << 32 | at[code[mine]], return_counts=True)
         holder, key = pairs >> 32, pairs & 0xFFFFFFFF
