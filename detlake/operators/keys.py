@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..scratch import cut
+
 
 def first_wins(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key, the least by ``order``.
@@ -41,10 +43,14 @@ def surrogate_keys(df: DataFrame, key: Sequence[str], order: Sequence[str], name
 
 
 def dense_numbers(df: DataFrame, order: Sequence[Column], name: str, start: int = 1) -> DataFrame:
-    """Rows numbered from ``start`` by ``order``: local numbers after a range partitioning, plus the sizes of the partitions before."""
+    """Rows numbered from ``start`` by ``order``: local numbers after a range partitioning, plus the sizes of the partitions before.
+
+    The bounds of a range partitioning come from a sample.  Rows are therefore
+    written with their partition and place, and counted and numbered from what was
+    written: whatever is lost later, no number repeats or misses.
+    """
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    # the bounds of a range partitioning come from a sample, so partitions are counted on the very rows that are numbered
-    placed = ranged.withColumn("__p", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))).persist()
+    placed = cut(ranged.withColumn("__p", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))), f"numbered-{name.strip('_')}")
     sizes = placed.groupBy("__p").count()
     upto = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     before = sizes.select(F.col("__p"), F.coalesce(F.sum("count").over(upto), F.lit(0)).alias("__before"))

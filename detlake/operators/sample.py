@@ -12,8 +12,8 @@ from .keys import dense_numbers
 
 
 def seeded(columns: Sequence[str], seed: int = 42) -> Column:
-    """A pseudo-random order: a hash of the row's key and the seed."""
-    return F.xxhash64(*columns, F.lit(seed))
+    """A pseudo-random order: the MD5 of the row's key and the seed, which any engine can repeat."""
+    return F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in columns], F.lit(str(seed))))
 
 
 def category_counts(annotations: DataFrame, category: str = "category_id", order: Sequence[str] = ("id",)) -> DataFrame:
@@ -101,21 +101,23 @@ def batches(df: DataFrame, workers: int, order: Sequence[str], least: int = 100)
 
 
 def negatives(images: DataFrame, annotations: DataFrame, categories: DataFrame, n: int = 5, seed: int = 42) -> DataFrame:
-    """(image_id, category_id): ``n`` seeded categories that an image lacks.
+    """(image_id, category_id): ``n`` random categories that an image lacks (all it lacks, if fewer).
 
-    Candidates are drawn by position: n + (categories of the image) seeded draws
-    without repetition always hold n that the image lacks, so images never meet
-    all categories.
+    Each of a bounded number of draws is a hash of image, place and seed of its
+    own, so images meet some categories only; the few whose draws repeat too often
+    take the missing ones in the order of a hash of image and category.
     """
-    cats = categories.select(F.array_sort(F.collect_list("id")).alias("c"))
+    cats = categories.select(F.array_sort(F.collect_list("id")).alias("c"))  # a dimension
     own = annotations.groupBy("image_id").agg(F.collect_set("category_id").alias("own"))
     rows = images.select(F.col("id").alias("image_id")).join(own, "image_id", "left").join(F.broadcast(cats))
-    mine = F.coalesce("own", F.array().cast("array<bigint>"))
+    rows = rows.select("image_id", "c", F.array_intersect(F.coalesce("own", F.array().cast("array<bigint>")), "c").alias("own"))
     size = F.size("c")
-    need = F.least(F.size(mine) + n, size)
-    start = F.pmod(F.xxhash64("image_id", F.lit(seed)), F.greatest(size, F.lit(1)).cast("long")).cast("int")
-    drawn = F.transform(F.sequence(F.lit(0), F.greatest(need - 1, F.lit(0))), lambda i: F.get("c", F.pmod(start + i, F.greatest(size, F.lit(1))).cast("int")))
-    return rows.select("image_id", F.explode(F.slice(F.filter(drawn, lambda c: c.isNotNull() & ~F.array_contains(mine, c)), 1, n)).alias("category_id"))
+    draw = lambda i: F.get("c", F.pmod(F.xxhash64("image_id", i, F.lit(seed)), F.greatest(size, F.lit(1)).cast("long")).cast("int"))
+    drawn = F.array_distinct(F.transform(F.sequence(F.lit(1), 2 * (F.size("own") + n) + 8), draw))
+    lacks = lambda a: F.slice(F.filter(a, lambda c: c.isNotNull() & ~F.array_contains("own", c)), 1, n)
+    ordered = F.transform(F.array_sort(F.transform("c", lambda c: F.struct(F.xxhash64("image_id", c, F.lit(seed)).alias("h"), c.alias("c")))), lambda x: x["c"])
+    enough = F.size(lacks(drawn)) >= F.least(F.lit(n), size - F.size("own"))
+    return rows.select("image_id", F.explode(F.when(enough, lacks(drawn)).otherwise(lacks(ordered))).alias("category_id"))
 
 
 def paired_sample(chunks: DataFrame, pairs: DataFrame, per_part: int = 10) -> DataFrame:

@@ -300,17 +300,9 @@ def aligned_episodes(spark, sf_dir):
     return align.align_episodes(e, e)
 
 
-@query(f"""WITH o AS {sql("observations")}, l AS (SELECT part, ep_idx, event, frame, rle FROM (SELECT *, row_number() OVER (PARTITION BY part, ep_idx, event, frame ORDER BY key_frame DESC) AS rn FROM o) WHERE rn = 1),
-  f AS (SELECT DISTINCT part, ep_idx, event, frame FROM o WHERE frame % 3 = 0) SELECT f.part, f.ep_idx, f.event, f.frame, l.rle FROM f JOIN l USING (part, ep_idx, event, frame)""")
-def frame_masks(spark, sf_dir):
-    o = adapted(spark, sf_dir, "observations")
-    want = o.where("frame % 3 = 0").select("part", "ep_idx", "event", "frame").distinct()
-    return align.frames_with_masks(want, o).select("part", "ep_idx", "event", "frame", "rle")
-
-
 @query(f"""WITH o AS {sql("observations")}, l AS (SELECT part, ep_idx, event, frame, rle FROM (SELECT *, row_number() OVER (PARTITION BY part, ep_idx, event, frame ORDER BY key_frame DESC) AS rn FROM o) WHERE rn = 1),
   f AS (SELECT DISTINCT part, ep_idx, event, frame FROM o) SELECT f.part, f.ep_idx, f.event, f.frame, l.rle FROM f JOIN l USING (part, ep_idx, event, frame)""")
-def frame_masks_all(spark, sf_dir):
+def frame_masks(spark, sf_dir):
     o = adapted(spark, sf_dir, "observations")
     return align.frames_with_masks(o.select("part", "ep_idx", "event", "frame").distinct(), o).select("part", "ep_idx", "event", "frame", "rle")
 
@@ -386,20 +378,10 @@ def phrase_classes(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", labels.phrase_class(F.col("p_name"), classes).alias("class_id"), labels.caption_text(F.col("p_name")).alias("caption"))
 
 
-@query("""WITH t AS (SELECT doc_id, unnest(list_transform(string_split(text, ' ')[1:60], lambda w: ends_with(w, '.')::INT)) AS sep, generate_subscripts(string_split(text, ' ')[1:60], 1) AS i FROM documents),
-  s AS (SELECT *, coalesce(sum(sep) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seg FROM t)
-  SELECT doc_id, max(seg)::INT AS last_segment, max(n)::INT AS longest FROM (SELECT doc_id, seg, count(*) AS n FROM s GROUP BY ALL) GROUP BY doc_id""")
-def token_segments(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-    ids = F.transform(F.slice(F.split("text", " "), 1, 60), lambda w: F.when(w.endswith("."), 1012).otherwise(7))
-    s = d.select("doc_id", captions.token_segments(ids, (1012,)).alias("s"))
-    return s.select("doc_id", F.array_max(F.transform("s", lambda x: x["segment"])).alias("last_segment"), (F.array_max(F.transform("s", lambda x: x["position"])) + 1).alias("longest"))
-
-
 @query("""WITH t AS (SELECT doc_id, unnest(list_transform(string_split(text, ' '), lambda w: ends_with(w, '.')::INT)) AS sep, generate_subscripts(string_split(text, ' '), 1) AS i FROM documents),
   s AS (SELECT *, coalesce(sum(sep) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seg FROM t)
   SELECT doc_id, max(seg)::INT AS last_segment, max(n)::INT AS longest FROM (SELECT doc_id, seg, count(*) AS n FROM s GROUP BY ALL) GROUP BY doc_id""")
-def token_segments_whole(spark, sf_dir):
+def token_segments(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     ids = F.transform(F.split("text", " "), lambda w: F.when(w.endswith("."), 1012).otherwise(7))
     s = d.select("doc_id", captions.token_segments(ids, (1012,)).alias("s"))
@@ -407,27 +389,16 @@ def token_segments_whole(spark, sf_dir):
 
 
 @query("""SELECT q.vec_id AS query, c.vec_id AS label, round(list_dot_product(q.embedding::DOUBLE[], c.embedding::DOUBLE[]), 6) AS similarity, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(q.embedding::DOUBLE[], c.embedding::DOUBLE[]) DESC, c.vec_id)::INT AS rank
-  FROM embeddings q, embeddings c WHERE q.vec_id % 10 = 0 AND c.vec_id < 40 QUALIFY rank <= 5""")
+  FROM embeddings q, embeddings c WHERE q.vec_id % 100 = 0 QUALIFY rank <= 5""")
 def similarity_topk(spark, sf_dir):
+    """The stated queries against all rows: a block of rows is a prompt's tokens, and the best labels are taken over all of them."""
     e = table(spark, sf_dir, "embeddings")
-    texts = e.where("vec_id < 40").agg(F.array_sort(F.collect_list(F.struct("vec_id", "embedding"))).alias("t"))  # one prompt's tokens
-    q = e.where("vec_id % 10 = 0").join(F.broadcast(texts))
-    scored = q.select(F.col("vec_id").alias("image_id"), F.lit(0).alias("query"), F.transform("t", lambda x: vectors.dot(F.col("embedding"), x["embedding"])).alias("label_scores"), "t")
+    texts = e.groupBy(F.floor(F.col("vec_id") / 512).alias("query")).agg(F.array_sort(F.collect_list(F.struct("vec_id", "embedding"))).alias("t"))
+    q = e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("image_id"), "embedding").crossJoin(texts)
+    scored = q.select("image_id", "query", F.transform("t", lambda x: vectors.dot(F.col("embedding"), x["embedding"])).alias("label_scores"))
     top = postprocess.top_labels(scored, k=5)
-    ids = texts.select(F.posexplode("t").alias("label", "x")).select("label", F.col("x.vec_id").alias("vec_id"))
-    return top.join(F.broadcast(ids), "label").select(F.col("image_id").alias("query"), F.col("vec_id").alias("label"), _r("score").alias("similarity"), "rank")
-
-
-@query("""SELECT q.vec_id AS query, c.vec_id AS label, round(list_dot_product(q.embedding::DOUBLE[], c.embedding::DOUBLE[]), 6) AS similarity, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(q.embedding::DOUBLE[], c.embedding::DOUBLE[]) DESC, c.vec_id)::INT AS rank
-  FROM embeddings q, embeddings c WHERE q.vec_id % 100 = 0 QUALIFY rank <= 5""")
-def similarity_topk_all(spark, sf_dir):
-    e = table(spark, sf_dir, "embeddings")
-    texts = e.groupBy(F.floor(F.col("vec_id") / 512).alias("block")).agg(F.array_sort(F.collect_list(F.struct("vec_id", "embedding"))).alias("t"))
-    q = e.where("vec_id % 100 = 0").crossJoin(texts)
-    scored = q.select("vec_id", "block", F.transform("t", lambda x: F.struct((-vectors.dot(F.col("embedding"), x["embedding"])).alias("d"), x["vec_id"].alias("label"))).alias("s"))
-    best = scored.select("vec_id", F.inline(F.slice(F.array_sort("s"), 1, 5)))  # five of each block at most
-    ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("vec_id").orderBy("d", "label"))).where("rank <= 5")
-    return ranked.select(F.col("vec_id").alias("query"), "label", _r(-F.col("d")).alias("similarity"), "rank")
+    ids = texts.select("query", F.posexplode(F.transform("t", lambda x: x["vec_id"])).alias("label", "vec_id"))
+    return top.join(ids, ["query", "label"]).select(F.col("image_id").alias("query"), F.col("vec_id").alias("label"), _r("score").alias("similarity"), "rank")
 
 
 _RUNS = f"""(SELECT key_frame, rle, list_transform(string_split(rle, ' '), lambda x: x::INT) AS n FROM {sql("observations")})"""
@@ -504,7 +475,7 @@ def spread_per_group(spark, sf_dir):
     return sample.spread_per_group(table(spark, sf_dir, "events").select("user_id", "event_id"), ["user_id"], 4, ["event_id"])
 
 
-@query()
+@query("SELECT user_id, event_id FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY md5(event_id || ':42'), event_id) AS rn FROM events) WHERE rn <= 2")
 def sampled_per_group(spark, sf_dir):
     return sample.sample_per_group(table(spark, sf_dir, "events").select("user_id", "event_id"), ["user_id"], 2, ["event_id"])
 
@@ -514,7 +485,7 @@ def uniform_sample(spark, sf_dir):
     return sample.take_uniform(table(spark, sf_dir, "orders").select("o_orderkey"), 50, ["o_orderkey"])
 
 
-@query()
+@query("SELECT o_orderkey, row_number() OVER (ORDER BY md5(o_orderkey || ':42'), o_orderkey) <= greatest(1, floor(count(*) OVER () * 0.1)) AS is_val FROM orders")
 def validation_split(spark, sf_dir):
     return sample.validation_split(table(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"])
 
@@ -524,10 +495,14 @@ def worker_batches(spark, sf_dir):
     return sample.batches(table(spark, sf_dir, "orders").select("o_orderkey"), 16, ["o_orderkey"])
 
 
-@query()
+@query(f"""WITH c AS (SELECT count(DISTINCT p_type) AS n FROM part), a AS (SELECT image_id, count(DISTINCT category) AS own FROM {sql("annotations")} GROUP BY 1)
+  SELECT o_orderkey AS image_id, least(2, c.n - coalesce(own, 0)) AS negatives, least(2, c.n - coalesce(own, 0)) AS lacked FROM orders LEFT JOIN a ON image_id = o_orderkey CROSS JOIN c WHERE coalesce(own, 0) < c.n""")
 def negative_categories(spark, sf_dir):
+    """How many distinct negatives each image got, and how many of them it lacks indeed."""
     ds = dataset(spark, sf_dir)
-    return sample.negatives(ds.images, ds.annotations, ds.categories, 2)
+    got = sample.negatives(ds.images, ds.annotations, ds.categories, 2)
+    has = ds.annotations.select("image_id", "category_id", F.lit(1).alias("has")).distinct()
+    return got.join(has, ["image_id", "category_id"], "left").groupBy("image_id").agg(F.countDistinct("category_id").alias("negatives"), F.count_if(F.col("has").isNull()).alias("lacked"))
 
 
 @query(f"SELECT count(*) FILTER (p AND a) AS tp, count(*) FILTER (p AND NOT a) AS fp, count(*) FILTER (NOT p AND a) AS fn, count(*) FILTER (NOT p AND NOT a) AS tn FROM (SELECT has_prediction AS p, score > 0.4 AS a FROM {sql('boxes')})")
@@ -570,10 +545,10 @@ def scalar_kinds(spark, sf_dir):
     return table(spark, sf_dir, "customer").select("c_custkey", labels.parse_scalar(text)["kind"].alias("kind"))
 
 
-@query("""SELECT event_id, round(ln(greatest(least(value / 100, 1), 1e-5) / greatest(1 - value / 100, 1e-5)), 6) + 0.0 AS logit, round(sin(value / 100 * (2 * pi())), 6) + 0.0 AS s0, round(cos(value / 100 * (2 * pi()) / pow(10000, 0.5)), 6) AS s3 FROM events WHERE value BETWEEN 0 AND 100""")
+@query("""SELECT event_id, round(ln(greatest(least(value / 100, 1), 1e-5) / greatest(1 - value / 100, 1e-5)), 6) + 0.0 AS logit, round(sin(value / 100 * (2 * pi())), 6) + 0.0 AS s0, round(cos(value / 100 * (2 * pi()) / pow(10000, 0.5)), 6) AS s3 FROM events""")
 def encodings(spark, sf_dir):
     x = F.col("value") / 100
-    e = table(spark, sf_dir, "events").where("value BETWEEN 0 AND 100").withColumn("s", vectors.sine_embedding(x, 4))
+    e = table(spark, sf_dir, "events").withColumn("s", vectors.sine_embedding(x, 4))
     return e.select("event_id", (_r(vectors.inverse_sigmoid(x)) + 0.0).alias("logit"), (_r(F.get("s", 0)) + 0.0).alias("s0"), _r(F.get("s", 3)).alias("s3"))
 
 
@@ -626,14 +601,8 @@ def prompt_styles(spark, sf_dir):
     return p.select("p_partkey", F.inline(labels.prompt_variants(F.col("p_name"), F.col("l"))))
 
 
-@query("SELECT l_orderkey AS task, max(l_quantity) FILTER (l_linenumber = 1) AS original, max(l_quantity) FILTER (l_linenumber = 2) AS simple, max(l_quantity) FILTER (l_linenumber = 3) AS aligned, max(l_quantity) FILTER (l_linenumber = 3) - max(l_quantity) FILTER (l_linenumber = 1) AS gain FROM lineitem WHERE l_linenumber <= 3 GROUP BY 1")
-def style_pivot(spark, sf_dir):
-    l = table(spark, sf_dir, "lineitem").where("l_linenumber <= 3").groupBy(F.col("l_orderkey").alias("task"), "l_linenumber").agg(F.max("l_quantity").alias("iou"))
-    return metrics.pivot_styles(l.withColumn("style", F.get(F.array(*map(F.lit, ("original", "simple", "aligned"))), F.col("l_linenumber") - 1)))
-
-
 @query("SELECT l_orderkey AS task, max(l_quantity) FILTER (l_linenumber % 3 = 1) AS original, max(l_quantity) FILTER (l_linenumber % 3 = 2) AS simple, max(l_quantity) FILTER (l_linenumber % 3 = 0) AS aligned, max(l_quantity) FILTER (l_linenumber % 3 = 0) - max(l_quantity) FILTER (l_linenumber % 3 = 1) AS gain FROM lineitem GROUP BY 1")
-def style_pivot_all(spark, sf_dir):
+def style_pivot(spark, sf_dir):
     style = F.get(F.array(*map(F.lit, ("original", "simple", "aligned"))), ((F.col("l_linenumber") - 1) % 3).cast("int"))
     l = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("task"), style.alias("style")).agg(F.max("l_quantity").alias("iou"))
     return metrics.pivot_styles(l)
