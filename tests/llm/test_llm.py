@@ -167,13 +167,106 @@ def test_tree_follows_containers():
     tree, rnd = extract.grow(extract.labelled()), random.Random(2)
     assert all(extract.classify(tree, x) == y for x, y in extract.labelled())
     for _ in range(3000):
-        row = tuple(map(float, (rnd.choice([1, 3, 9, 20, 60, 200]), rnd.choice([0, .1, .5, 1]), rnd.choice([0, 2, 9, 40]), rnd.choice([0, .5, 1]), rnd.choice([0, 2, 40, 100]), rnd.choice([0, 1]), rnd.randint(0, 1), rnd.randint(0, 1), rnd.randint(0, 1))))
-        if row[7] or row[8]:
+        row = tuple(map(float, (rnd.choice([1, 3, 9, 20, 60, 200]), rnd.choice([0, .1, .5, 1]), rnd.choice([0, 2, 9, 40]), rnd.choice([0, .5, 1]), rnd.choice([0, 2, 40, 100]), rnd.choice([0, 1]), rnd.randint(0, 1), rnd.randint(0, 1), rnd.choice([0, .5, 1]))))
+        if row[7] or row[8] == 1:
             assert extract.classify(tree, row) == 0
-        elif row[6]:
+        elif row[6] and not row[8]:
             assert extract.classify(tree, row) == 1
 
 
+def test_tree_uses_words_links_and_neighbours():
+    used, todo = set(), [extract.grow(extract.labelled())]
+    while todo:
+        node = todo.pop()
+        if node.feature >= 0:
+            used.add(extract.FEATURES[node.feature])
+            todo += [node.low, node.high]
+    assert {"words", "density"} <= used and used & {"before_words", "before_density", "after_words", "after_density"}
+
+
+def test_doubtful_names_and_unclosed_heads():
+    tree = extract.grow(extract.labelled())
+    for name, kept in (("social studies", True), ("widget-text", True), ("ad", False), ("advert-box", True), ("ad-banner", False)):
+        text = extract.main_text(f'<article><h1>Title</h1><p class="{name}">{words(30)}</p><p>{words(50)}</p></article>', tree)
+        assert len(text.split("\n")) == 2 + kept
+    for head in ("<head><title>x</title>", "<head>", "<head><meta charset=utf-8><title>x", "<title>x</title><body>"):
+        assert extract.main_text(f"<html>{head}<p>{words(60)}</p><p>{words(50, 1)}</p>", tree) == words(60) + "\n" + words(50, 1)
+
+
+def plain_tokens(page):
+    """Character by character; what a tag holds is found by trying every end."""
+    out, i, broken = [], 0, False
+
+    def text(x):
+        if out and out[-1][0] == "text":
+            out[-1] = ("text", out[-1][1] + x)
+        else:
+            out.append(("text", x))
+
+    def tag_end(k, quotes):
+        q = None
+        while k < len(page):
+            c = page[k]
+            if q:
+                q = None if c == q else q
+            elif quotes and c in "\"'":
+                q = c
+            elif c == ">":
+                return k
+            k += 1
+
+    while i < len(page):
+        if page[i] != "<" or ">" not in page[i:]:
+            text(page[i])
+            i += 1
+        elif page.startswith("<!--", i):
+            end = page.find("-->", i + 4)
+            i = len(page) if end < 0 else end + 3
+        elif page[i + 1 : i + 2] in ("!", "?"):
+            i = page.index(">", i) + 1
+        else:
+            k = i + 1 + page.startswith("/", i + 1)
+            j = k
+            while j < len(page) and page[j].isascii() and (page[j].isalnum() or (j > k and page[j] in ":-")):
+                j += 1
+            if j == k or page[k].isdigit():
+                text("<")
+                i += 1
+                continue
+            end = None if broken else tag_end(j, True)
+            if end is None:
+                broken, end = True, tag_end(j, False)
+            out.append(("tag", page[i + 1 : j].lower(), page[j:end]))
+            i = end + 1
+    return out
+
+
+def test_tokens_against_single_steps():
+    rnd = random.Random(4)
+    parts = ["<p>", "<a href='x>y'>", "</p>", "<", ">", '"', "'", "<b", " c=", "<!--", "-->", "<!x>", "<3", "word ", "</", "<div class=\"a b\">", "<x:y-1 z>"]
+    for _ in range(4000):
+        page = "".join(rnd.choice(parts) for _ in range(rnd.randrange(14)))
+        got = []
+        for piece, tag, attr in extract.tokens(page):
+            if piece is None:
+                got.append(("tag", tag, attr))
+            elif got and got[-1][0] == "text":
+                got[-1] = ("text", got[-1][1] + piece)
+            else:
+                got.append(("text", piece))
+        assert got == plain_tokens(page), page
+
+
+def test_malformed_pages_take_linear_time():
+    import time
+
+    tree = extract.grow(extract.labelled())
+    for unit in ("<a ", '<a ">"', "<p", "<a '\">", "<object>", "</div", "<svg></svg ", "<div>", "<!--", "&lt", "<title>", "<div><b></ul>", "</p>"):
+        began = time.process_time()
+        extract.main_text(unit * (1_000_000 // len(unit)), tree)
+        assert time.process_time() - began < 10, unit
+
+
 # ---- 5 rollups
 
 
