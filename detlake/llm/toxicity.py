@@ -1,8 +1,9 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained: one on words of ordinary text, one on
-the words that mark toxic text (those holding character n-grams far more
-frequent there than in ordinary text).  A window - a word, or a piece
+Two zstandard dictionaries are trained: one on the words of all ordinary training
+text, one on the words that mark toxic text (those holding character n-grams far
+more frequent there than in ordinary text; most words of toxic text are as
+ordinary as any, and a dictionary of all of them tells little).  A window - a word, or a piece
 of a very long one, echoed a few times so that the fixed costs of a frame vanish
 - is compressed with each.  The pair of lengths, beside the window's own, falls
 into a cell; a cell's weight is the log ratio of its frequencies in toxic and in
@@ -11,7 +12,8 @@ threshold, as such and for each word, becomes a probability by a logistic curve
 fitted on the training documents.
 
 Training uses a bounded sample of labelled documents (``MOST_TOXIC``,
-``MOST_ORDINARY``, chosen by hash of the id); scoring reads every text whole.
+``MOST_ORDINARY`` and ``MOST_CHARS``, chosen by hash of the id), all words of them;
+scoring reads every text whole.
 Null texts are empty and score like any text without evidence.  Without labels
 of both kinds every score is the share of toxic labels (0 if there are none).
 Rows whose doc_id is null are never learned from.  Repeated labels count once;
@@ -33,13 +35,18 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from .common import resident
+from .common import cut, resident
 
 #: Labelled documents used for training, at most.
 MOST_TOXIC, MOST_ORDINARY = 1000, 3000
+#: Of either label, documents are taken until their texts have so many characters together.
+MOST_CHARS = 40_000_000
 GRAM, LONGEST, ECHO, LEVEL, WINDOW = 5, 10, 4, 6, 64
 ORDINARY_BYTES, TOXIC_BYTES = 32768, 8192
+#: A word counts so often, at most, when a dictionary is trained.
+OFTEN = 20
 #: Weights from which a cell counts as evidence.
 LEAST_WEIGHT, STRONG = 1.5, 4.0
 #: A marking n-gram is so many times as frequent in toxic text; so many occurrences count from one document.
@@ -64,12 +71,18 @@ def _grams(word: bytes) -> list[bytes]:
     return [x[i : i + GRAM] for i in range(len(x) - GRAM + 1)] + [x[:k] for k in range(GRAM + 1, min(len(x), LONGEST) + 1)]
 
 
-def _dictionary(samples: list[bytes], size: int) -> bytes:
-    """A trained dictionary, or the samples themselves where there are too few to train on."""
+def _dictionary(seen: Counter, size: int, together: int) -> bytes:
+    """A dictionary trained on words by how often they occur (``OFTEN`` times at most), some of them together.
+
+    Where there are too few for zstandard to train on, the dictionary is the words themselves, the rarest first.
+    """
+    words = [w for w, c in sorted(seen.items()) for _ in range(min(c, OFTEN))]
+    np.random.default_rng(0).shuffle(words)
+    samples = [b" " + b" ".join(words[i : i + together]) for i in range(0, len(words), together)]
     try:
         return zstandard.train_dictionary(size, samples).as_bytes()
     except zstandard.ZstdError:
-        return b"".join(dict.fromkeys(samples))[-size:]
+        return b" ".join(w for w, _ in sorted(seen.items(), key=lambda x: (x[1], x[0])))[-size:]
 
 
 class Model(NamedTuple):
@@ -87,7 +100,7 @@ class Cells:
     """The cell of a window, remembered for a bounded number of windows."""
 
     def __init__(self, ordinary: bytes, toxic: bytes):
-        made = [zstandard.ZstdCompressionDict(d or b" ", dict_type=zstandard.DICT_TYPE_RAWCONTENT) for d in (ordinary, toxic)]
+        made = [zstandard.ZstdCompressionDict(d or b" ") for d in (ordinary, toxic)]
         for d in made:
             d.precompute_compress(level=LEVEL)
         self.packers = [zstandard.ZstdCompressor(dict_data=d, level=LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False) for d in made]
@@ -138,8 +151,9 @@ def fit(texts: list[tuple[str, int]]) -> Model:
     size = [sum(len(w) for w, y in split if y == k) + 1 for k in (0, 1)]
     counted = [Counter(w) for w, _ in split]
     spread: Counter = Counter()
-    sums = (Counter(), Counter())
+    sums, words = (Counter(), Counter()), (Counter(), Counter())
     for c, y in zip(counted, labels, strict=True):
+        words[y].update(c)
         mine: Counter = Counter()
         for w, k in c.items():
             for g in set(_grams(w)):
@@ -148,21 +162,8 @@ def fit(texts: list[tuple[str, int]]) -> Model:
         if y:
             spread.update(mine.keys())
     marks = {g for g, k in sums[1].items() if spread[g] >= max(3, SPREAD * n[1]) and k / size[1] > RATIO * (sums[0][g] + 1) / size[0]}
-    seen: Counter = Counter()
-    ordinary: list[bytes] = []
-    for words, y in split:
-        if y:
-            for w in words:
-                grams = _grams(w)
-                if grams and sum(g in marks for g in grams) >= min(2, len(grams)):
-                    seen[b" " + w] += 1
-        elif len(ordinary) < 800_000:
-            ordinary += [b" " + w for w in words]
-    rng = np.random.default_rng(0)
-    toxic = [w for w, c in sorted(seen.items()) for _ in range(min(c, 20))]
-    rng.shuffle(toxic)
-    join = lambda ws, k: [b"".join(ws[i : i + k]) for i in range(0, len(ws), k)]
-    ordinary_dict, toxic_dict = _dictionary(join(ordinary, 8), ORDINARY_BYTES), _dictionary(join(toxic, 4), TOXIC_BYTES)
+    marking = Counter({w: k for w, k in words[1].items() if (grams := _grams(w)) and sum(g in marks for g in grams) >= min(2, len(grams))})
+    ordinary_dict, toxic_dict = _dictionary(words[0], ORDINARY_BYTES, 8), _dictionary(marking, TOXIC_BYTES, 4)
     cells = Cells(ordinary_dict, toxic_dict)
     have = (Counter(), Counter())
     for c, y in zip(counted, labels, strict=True):
@@ -213,7 +214,10 @@ def train(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "
     known = labels.where(F.col(doc).isNotNull() & F.col(label).isNotNull() & ~held_out(F.col(doc))).groupBy(F.col(doc).alias("_id")).agg(F.max(label).alias("_y"))
     pick = lambda y, most: known.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(most)
     chosen = F.broadcast(pick(1, MOST_TOXIC).union(pick(0, MOST_ORDINARY)))  # at most 4,000 rows of two numbers
-    rows = docs.join(chosen, docs[doc] == chosen["_id"]).select("_id", F.coalesce(docs[text].cast("string"), F.lit("")).alias("t"), "_y").collect()
+    rows = docs.join(chosen, docs[doc] == chosen["_id"]).select("_id", F.coalesce(docs[text].cast("string"), F.lit("")).alias("t"), "_y")
+    rows = cut(rows.withColumn("n", F.length("t").cast("long")), "labelled")
+    before = F.sum("n").over(Window.partitionBy("_y").orderBy(F.xxhash64("_id"), "_id", F.xxhash64("t")).rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < MOST_CHARS).select("_id", "t", "_y").collect()
     return fit([(r["t"], int(r["_y"])) for r in sorted(rows, key=lambda r: (r["_id"], r["t"]))])
 
 
