@@ -6,11 +6,12 @@ in documents).  A batch of deltas is summed by source, language and tokenizer
 version before it is stored; the store holds one partition per batch id, and a
 commit replaces the partition of its own id only, so committing a batch again
 - after a lost driver, say - changes nothing.  Totals are the sum over batches,
-hence independent of their order.
+hence independent of their order.  Every partition holds a head row, so that an
+empty batch replaces what its id held as well.
 
 Nulls: a null text counts zero tokens; null source or language is its own
-group.  Repeated rows count as often as they occur.  An empty batch commits
-nothing but is allowed.  Further columns are ignored.
+group.  Repeated rows count as often as they occur.  An empty batch is a batch
+without totals.  Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,11 +19,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import bpe
 from .common import SPACE, cut, scratch_path, table
 
 KEYS = ("source", "lang", "tokenizer")
 ADDED = ("docs", "tokens", "n_inserts", "n_deletes", "n_revisions")
-SCHEMA = "source string, lang string, tokenizer string, docs long, tokens long, n_inserts long, n_deletes long, n_revisions long, batch string"
+SCHEMA = "source string, lang string, tokenizer string, docs long, tokens long, n_inserts long, n_deletes long, n_revisions long, head boolean, batch string"
+TYPES = dict(c.split() for c in SCHEMA.split(", ")[:-2])
 
 
 def word_count(text: Column) -> Column:
@@ -63,7 +66,9 @@ class Rollup:
             F.sum(F.col("docs").cast("long")).alias("docs"), F.sum("tokens").alias("tokens"),
             is_op("insert").alias("n_inserts"), is_op("delete").alias("n_deletes"), is_op("revise").alias("n_revisions"),
         )
-        out = sums.coalesce(1).withColumn("batch", F.lit(batch))  # groups by key: few rows whatever the batch
+        rows = sums.select(*[F.col(c).cast(t) for c, t in TYPES.items()], F.lit(False).alias("head"))
+        head = self.spark.range(1).select(*[F.lit(None).cast(t).alias(c) for c, t in TYPES.items()], F.lit(True).alias("head"))
+        out = rows.union(head).withColumn("batch", F.lit(batch))
         out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(self.path)
 
     def batches(self) -> DataFrame:
@@ -71,12 +76,12 @@ class Rollup:
 
     def totals(self) -> DataFrame:
         """Additive totals by source, language and tokenizer version."""
-        return self.batches().groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in ADDED])
+        return self.batches().where("NOT head").groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in ADDED])
 
     def compact(self, into: str) -> "Rollup":
         """The totals as the single batch of a new store."""
         other = Rollup(self.spark, into)
-        self.totals().withColumn("batch", F.lit("compacted")).write.mode("overwrite").partitionBy("batch").parquet(into)
+        self.totals().withColumns({"head": F.lit(False), "batch": F.lit("compacted")}).write.mode("overwrite").partitionBy("batch").parquet(into)
         return other
 
 
@@ -88,6 +93,13 @@ def count(docs: DataFrame, tokenizers: dict = TOKENIZERS, keep: tuple[str, ...]
     return rows.select(*keep, "source", "lang", "old", "c.*")
 
 
+def count_bpe(docs: DataFrame, rank_file: str, pattern: str, name: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The same columns from the operator of byte-level BPE; ``name`` is the tokenizer version."""
+    kept = dict.fromkeys((*keep, "source", "lang", "n_chars"))
+    found = bpe.encode(docs, rank_file, pattern, keep=tuple(kept))
+    return found.select(*keep, "source", "lang", F.coalesce("n_chars", F.lit(0)).cast("long").alias("old"), F.lit(name).alias("tokenizer"), F.col("n_tokens").alias("n"))
+
+
 def documents_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals after three batches: every document inserted with its n_chars as provisional
     count, every count revised by the tokenizers, and the documents labelled as poor deleted.
