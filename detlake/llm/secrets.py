@@ -4,21 +4,25 @@ Spans are found with Java regular expressions: the pieces between the matches
 of a pattern (``split``) and the matches themselves (``regexp_extract_all``)
 give every start and end by prefix sums, in code points, without a Python
 function.  Every candidate value is hashed; one aggregation counts in how many
-repositories and by how many owners each hash occurs.  Only the owners decide.  A value seen with more
-than ``max_owners`` owners is a widely copied example; the others are
-owner-specific and, with letters of both cases and digits, look live.
+repositories and by how many owners each hash occurs.  A value of more than
+``max_owners`` owners or in more than ``max_repos`` repositories is a widely
+copied example; the others are owner-specific.  A bare token that is
+owner-specific and looks live (a digit, a lower-case letter and six distinct
+characters at least) joins the spans.
 
 Edge cases: null or empty text has no spans; null owners and repositories count
 as one owner named ''; repeated rows are each scanned and count once for their
-owner; other columns of the input are ignored, whatever their names.
+owner; other columns of the input are ignored, whatever their names.  Work grows
+with a text's length and but little faster with its spans.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import cut
+from .common import cut, small
 
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 #: kind, pattern, group holding the value, least length of that group.
@@ -33,26 +37,55 @@ def _looks_live(value: Column) -> Column:
     return value.rlike("[0-9]") & value.rlike("[a-z]") & (F.size(F.array_distinct(F.split(value, ""))) >= 6)
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+PLACES = "array<struct<s:bigint,e:bigint>>"
+
+
+def _places(sizes: Column) -> Column:
+    """(s, e) of every match from the lengths g of the gap before it and m of itself.
+
+    An array grows by copying, so the sums run over about sqrt(n) pieces of sqrt(n) each.
+    """
+
+    def running(piece: Column) -> Column:
+        return F.aggregate(
+            piece,
+            F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(PLACES).alias("got")),
+            lambda acc, x: F.struct(
+                (acc["at"] + x["g"] + x["m"]).alias("at"),
+                F.concat(acc["got"], F.array(F.struct((acc["at"] + x["g"]).alias("s"), (acc["at"] + x["g"] + x["m"]).alias("e")))).alias("got"),
+            ),
+        )
+
+    def whole(all_: Column) -> Column:
+        step = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(all_)))).cast("int")
+        pieces = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(all_) - 1), step), lambda at: running(F.slice(all_, at + 1, step)))
+        shifted = F.aggregate(
+            pieces,
+            F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{PLACES}>").alias("got")),
+            lambda acc, p: F.struct(
+                (acc["at"] + p["at"]).alias("at"),
+                F.concat(acc["got"], F.array(F.transform(p["got"], lambda x: F.struct((x["s"] + acc["at"]).alias("s"), (x["e"] + acc["at"]).alias("e"))))).alias("got"),
+            ),
+            lambda acc: F.flatten(acc["got"]),
+        )
+        return shifted
+
+    return _let(sizes, whole)
+
+
 def find_spans(text: Column, ord_: int, kind: str, pattern: str, group: int, least: int) -> Column:
     """Array of spans of one kind, leftmost non-overlapping, shorter values dropped."""
     rx = F.lit(pattern)
-    gaps = F.split(text, pattern, -1)
     full = F.regexp_extract_all(text, rx, F.lit(0))
     value = full if group == 0 else F.regexp_extract_all(text, rx, F.lit(group))
-    sizes = F.zip_with(gaps, full, lambda g, m: F.struct(F.length(g).cast("long").alias("g"), F.length(m).cast("long").alias("m")))
-    ends = F.aggregate(
-        sizes,
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<s:bigint,e:bigint>>").alias("got")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["g"] + F.coalesce(x["m"], F.lit(0))).alias("at"),
-            F.when(x["m"].isNull(), acc["got"])
-            .otherwise(F.concat(acc["got"], F.array(F.struct((acc["at"] + x["g"]).alias("s"), (acc["at"] + x["g"] + x["m"]).alias("e")))))
-            .alias("got"),
-        ),
-        lambda acc: acc["got"],
-    )
+    sizes = F.zip_with(F.split(text, pattern, -1), full, lambda g, m: F.struct(F.length(g).cast("long").alias("g"), F.length(m).cast("long").alias("m")))
     spans = F.filter(
-        F.zip_with(ends, value, lambda p, v: F.struct(p["s"].alias("s"), p["e"].alias("e"), v.alias("v"))),
+        F.zip_with(_places(F.filter(sizes, lambda x: x["m"].isNotNull())), value, lambda p, v: F.struct(p["s"].alias("s"), p["e"].alias("e"), v.alias("v"))),
         lambda x: F.length(x["v"]) >= least,
     )
     typed = F.transform(
@@ -65,14 +98,25 @@ def find_spans(text: Column, ord_: int, kind: str, pattern: str, group: int, lea
     return F.when(text.rlike(pattern), typed).otherwise(F.array().cast(SPANS))
 
 
-def scan(docs: DataFrame, owner: Column, repo: Column, text: str = "text", max_owners: int = 2, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def _free(cands: DataFrame) -> DataFrame:
+    """Without bare tokens that overlap a base span, by two passes over a text's spans."""
+    base = F.col("ord") < len(BASE)
+    forward = Window.partitionBy("_uid").orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
+    backward = Window.partitionBy("_uid").orderBy((-F.col("start")).alias("_back")).rangeBetween(Window.unboundedPreceding, 0)
+    seen = cands.withColumn("_upto", F.max(F.when(base, F.col("end"))).over(forward)).withColumn("_from", F.min(F.when(base, F.col("start"))).over(backward))
+    overlaps = (F.coalesce("_upto", F.lit(-1)) > F.col("start")) | F.coalesce(F.col("_from") < F.col("end"), F.lit(False))
+    return seen.where(base | ~overlaps).drop("_upto", "_from")
+
+
+def scan(docs: DataFrame, owner: Column, repo: Column, text: str = "text", max_owners: int = 2, max_repos: int = 4, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per input row: ``keep`` columns, base spans and all spans.
 
     Columns: ``keep``..., ``base`` and ``spans`` (arrays of start, ord, kind,
     end), ``n_live`` and ``n_shared`` (values judged owner-specific and widely
-    copied), ``live`` (array of start, end of the owner-specific ones).
+    copied), ``marks`` (array of start, end, shared: the spans, those that overlap
+    as one, which is shared if all of it is).
     Base spans always stay; a bare token joins them only if it looks live, lies
-    in no base span and its hash occurs with at most ``max_owners`` owners.
+    in no base span and its hash is no widely copied one.
     """
     body = F.coalesce(docs[text].cast("string"), F.lit(""))
     rows = docs.select(
@@ -81,22 +125,27 @@ def scan(docs: DataFrame, owner: Column, repo: Column, text: str = "text", max_o
         F.coalesce(owner.cast("string"), F.lit("")).alias("_owner"),
         F.coalesce(repo.cast("string"), F.lit("")).alias("_repo"),
         F.concat(*[find_spans(body, i, *x) for i, x in enumerate(BASE)]).alias("_base"),
-        find_spans(body, len(BASE), *BARE).alias("_bare"),
+        F.filter(find_spans(body, len(BASE), *BARE), lambda x: x["live"]).alias("_bare"),
     )
-    free = F.filter("_bare", lambda b: b["live"] & ~F.exists("_base", lambda x: (x["start"] < b["end"]) & (b["start"] < x["end"])))
-    rows = cut(rows.withColumn("_bare", free), "secret-spans")
-
-    cands = rows.where((F.size("_base") > 0) | (F.size("_bare") > 0)).select(
-        "_uid", "_owner", "_repo", F.explode(F.concat("_base", "_bare")).alias("s")
-    ).select("_uid", "_owner", "_repo", "s.*")
-    owners = (
-        cands.groupBy("hash", "_owner", "_repo").agg(F.count("*").alias("n"))
-        .groupBy("hash", "_owner").agg(F.count("*").alias("repos"), F.sum("n").alias("n"))
-        .groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repos").alias("repos"))
+    rows = cut(rows, "secret-spans")
+
+    cands = rows.where((F.size("_base") > 0) | (F.size("_bare") > 0)).select("_uid", "_owner", "_repo", F.explode(F.concat("_base", "_bare")).alias("s"))
+    cands = cut(_free(cands.select("_uid", "_owner", "_repo", "s.start", "s.ord", "s.kind", "s.end", "s.hash")), "secret-candidates")
+    # a hot value sends one row an owner and task, and one a repository
+    owners = cands.groupBy("hash", "_owner").agg(F.count("*").alias("n")).groupBy("hash").agg(F.count("*").alias("owners"))
+    repos = cands.groupBy("hash", "_repo").agg(F.count("*").alias("n")).groupBy("hash").agg(F.count("*").alias("repos"))
+    copied = owners.join(repos, "hash").where((F.col("owners") > max_owners) | (F.col("repos") > max_repos)).select("hash", F.lit(True).alias("shared"))
+    judged = cands.join(small(cut(copied, "copied-values")), "hash", "left").withColumn("shared", F.coalesce("shared", F.lit(False)))
+    judged = judged.where((F.col("ord") < len(BASE)) | ~F.col("shared"))
+    order = Window.partitionBy("_uid").orderBy("start", "ord")
+    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    judged = judged.withColumn("_new", (F.coalesce(before, F.lit(0)) <= F.col("start")).cast("int")).withColumn("_mark", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    merged = judged.groupBy("_uid", "_mark").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.bool_and("shared").alias("shared"),
+        F.collect_list(F.struct("start", "ord", "kind", "end", "shared")).alias("spans"),
     )
-    judged = cands.join(owners, "hash").withColumn("shared", F.col("owners") > max_owners)
-    kept = judged.where((F.col("ord") < len(BASE)) | ~F.col("shared")).groupBy("_uid").agg(
-        F.array_sort(F.collect_list(F.struct("start", "ord", "kind", "end", "shared"))).alias("_all")
+    kept = merged.groupBy("_uid").agg(
+        F.array_sort(F.flatten(F.collect_list("spans"))).alias("_all"), F.array_sort(F.collect_list(F.struct("start", "end", "shared"))).alias("_marks")
     )
     plain = lambda c: F.transform(c, lambda s: F.struct(s["start"].alias("start"), s["ord"].alias("ord"), s["kind"].alias("kind"), s["end"].alias("end")))
     none = F.array().cast("array<struct<start:bigint,ord:int,kind:string,end:bigint,shared:boolean>>")
@@ -107,7 +156,7 @@ def scan(docs: DataFrame, owner: Column, repo: Column, text: str = "text", max_o
         plain("_all").alias("spans"),
         F.size(F.filter("_all", lambda s: ~s["shared"])).cast("long").alias("n_live"),
         F.size(F.filter("_all", lambda s: s["shared"])).cast("long").alias("n_shared"),
-        F.transform("_all", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["shared"].alias("shared"))).alias("marks"),
+        F.coalesce("_marks", F.array().cast("array<struct<start:bigint,end:bigint,shared:boolean>>")).alias("marks"),
     )
 
 
@@ -126,51 +175,53 @@ def digest(found: DataFrame) -> DataFrame:
     )
 
 
+#: Code points of a piece of a text that is cut at many places.
+PIECE = 4096
+
+
 def redact(text: Column, marks: Column, live: str = "<secret>", example: str = "<example-secret>") -> Column:
-    """``text`` with marked spans replaced; overlapping spans become one, live if any is."""
-    merged = F.aggregate(
-        marks,
-        F.array().cast("array<struct<start:bigint,end:bigint,shared:boolean>>"),
-        lambda acc, s: F.when(
-            (F.size(acc) > 0) & (s["start"] < F.element_at(acc, -1)["end"]),
-            F.concat(
-                F.slice(acc, 1, F.size(acc) - 1),
-                F.array(F.struct(F.element_at(acc, -1)["start"].alias("start"), F.greatest(F.element_at(acc, -1)["end"], s["end"]).alias("end"), (F.element_at(acc, -1)["shared"] & s["shared"]).alias("shared"))),
-            ),
-        ).otherwise(F.concat(acc, F.array(s))),
-    )
-    none = F.lit(0).cast("long")
-    before = lambda i, m: F.when(i == 0, none).otherwise(F.get(m, i - 1)["end"])
+    """``text`` with the ``marks`` of :func:`scan` replaced.
+
+    A place in a text is found by counting from its start; so the text is cut into
+    pieces first, and what lies between two marks is taken from the pieces it touches.
+    """
+
+    def between(pieces: Column, a: Column, b: Column) -> Column:
+        first = F.floor(a / PIECE).cast("int")
+        some = F.array_join(F.slice(pieces, first + 1, F.floor((b - 1) / PIECE).cast("int") - first + 1), "")
+        return F.when(a < b, some.substr((a - first * PIECE + 1).cast("int"), (b - a).cast("int"))).otherwise("")
 
-    def rebuilt(m: Column) -> Column:
-        parts = F.transform(m, lambda s, i: F.concat(text.substr((before(i, m) + 1).cast("int"), (s["start"] - before(i, m)).cast("int")), F.when(s["shared"], F.lit(example)).otherwise(F.lit(live))))
-        tail = text.substr((F.element_at(m, -1)["end"] + 1).cast("int"), F.length(text))
-        return F.concat(F.array_join(parts, ""), tail)
+    def rebuilt(both: Column) -> Column:
+        m, pieces, size = both["m"], both["p"], both["n"]
+        before = lambda i: F.when(i == 0, F.lit(0).cast("long")).otherwise(F.get(m, i - 1)["end"])
+        parts = F.transform(m, lambda s, i: F.concat(between(pieces, before(i), s["start"]), F.when(s["shared"], F.lit(example)).otherwise(F.lit(live))))
+        return F.concat(F.array_join(parts, ""), between(pieces, F.element_at(m, -1)["end"], size))
 
-    return F.when(F.size(marks) == 0, text).otherwise(rebuilt(merged))
+    cut_up = F.struct(marks.alias("m"), F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)).alias("p"), F.length(text).cast("long").alias("n"))
+    return F.when(F.size(marks) == 0, text).otherwise(_let(cut_up, rebuilt))
 
 
 def _sql_hits(ord_: int, kind: str, pattern: str, group: int, least: int) -> str:
     rx = "'" + pattern.replace("'", "''") + "'"
     return f"""
-  SELECT rid, doc_id, owner, {ord_} AS ord, '{kind}' AS kind, s, s + length(m) AS e, v
-  FROM (SELECT rid, doc_id, owner, unnest(list_transform(range(1, len(ms) + 1), lambda i:
+  SELECT rid, doc_id, owner, repo, {ord_} AS ord, '{kind}' AS kind, s, s + length(m) AS e, v
+  FROM (SELECT rid, doc_id, owner, repo, unnest(list_transform(range(1, len(ms) + 1), lambda i:
           list_sum(list_transform(gaps[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda g: length(g))), 0)))::BIGINT AS s,
           unnest(ms) AS m, unnest(vs) AS v
-        FROM (SELECT rid, doc_id, owner, string_split_regex(t, {rx}) AS gaps, regexp_extract_all(t, {rx}, 0) AS ms,
+        FROM (SELECT rid, doc_id, owner, repo, string_split_regex(t, {rx}) AS gaps, regexp_extract_all(t, {rx}, 0) AS ms,
                      regexp_extract_all(t, {rx}, {group}) AS vs FROM d WHERE regexp_matches(t, {rx})))
   WHERE length(v) >= {least}"""
 
 
-#: DuckDB SQL of :func:`digest` over ``documents`` (owner: source).
+#: DuckDB SQL of :func:`digest` over ``documents`` (owner: source, repository: source and language).
 ORACLE = f"""
-WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '') AS owner, coalesce(text, '') AS t FROM documents),
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '') AS owner, concat_ws('/', source, lang) AS repo, coalesce(text, '') AS t FROM documents),
 base AS ({" UNION ALL ".join(_sql_hits(i, *x) for i, x in enumerate(BASE))}),
 bare AS (SELECT * FROM ({_sql_hits(len(BASE), *BARE)}) b
   WHERE regexp_matches(v, '[0-9]') AND regexp_matches(v, '[a-z]') AND len(list_distinct(string_split(v, ''))) >= 6
     AND NOT EXISTS (SELECT 1 FROM base x WHERE x.rid = b.rid AND x.s < b.e AND b.s < x.e)),
 cand AS (SELECT * FROM base UNION ALL SELECT * FROM bare),
-freq AS (SELECT v, count(DISTINCT owner) > 2 AS shared FROM cand GROUP BY v),
+freq AS (SELECT v, count(DISTINCT owner) > 2 OR count(DISTINCT repo) > 4 AS shared FROM cand GROUP BY v),
 kept AS (SELECT c.*, f.shared, kind || ':' || s || ':' || e AS z FROM cand c JOIN freq f USING (v) WHERE ord < 3 OR NOT f.shared),
 by_doc AS (SELECT rid, count(*) FILTER (ord = 0) AS n_assign, count(*) FILTER (ord = 1) AS n_access, count(*) FILTER (ord = 2) AS n_hex,
   coalesce(string_agg(z, ',' ORDER BY s, ord) FILTER (ord < 3), '') AS b, string_agg(z, ',' ORDER BY s, ord) AS spans,
