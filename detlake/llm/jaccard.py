@@ -1,12 +1,19 @@
-"""Near-duplicates by word shingles: MinHash candidates, each verified by exact Jaccard similarity.
-
-Of every distinct text the ``BANDS`` x ``ROWS`` least hashes of its shingles are
-taken; texts that agree in a band are sorted side by side and each is paired with
-the ``NEXT`` after it, in an order that differs by band, so a long list never
-turns into all its pairs and is split among tasks.  Two texts of similarity 0.8
-share a band with probability 0.99997; lists longer than ``NEXT`` link a group
-through others of it.  A pair is a link only if the similarity of its full
-shingle sets reaches the bound; a group is a component of links.
+"""Near-duplicates by word shingles: the fingerprint operator's links and MinHash candidates, each verified by exact Jaccard similarity.
+
+The fingerprints of ``simhash`` find what lies within three bits for certain.
+But texts of similarity 0.8 differ in some ten of 64 bits, and beyond seven no
+positional byte need be equal: an index of bytes can't find them.  So the
+``BANDS`` x ``ROWS`` least hashes of a text's shingles are taken as well; texts
+that agree in a band are sorted side by side and each is paired with the
+``NEXT`` after it, in an order that differs by band, so a long list never turns
+into all its pairs and is split among tasks.  Two texts of similarity 0.8 share
+a band with probability 0.99997.  A pair is a link only if the similarity of its
+full shingle sets reaches the bound; a group is a component of links.
+
+Lists longer than ``NEXT`` whose members aren't all in one group by then are
+compared in full: a member outside the list's largest group with all members of
+other groups, by the agreement of the least hashes (``LIKELY`` of them, five
+deviations under what similarity 0.8 gives), and what agrees is verified as well.
 Null texts are empty; texts without words are alike only if they are equal.
 """
 
@@ -17,26 +24,35 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, resident, width
-from .simhash import components, text_hashes
+from .common import cut, resident, small, width
+from .simhash import components, fingerprint, text_hashes
+from .simhash import links as print_links
 
-BANDS, ROWS, NEXT = 20, 4, 16
+BANDS, ROWS, NEXT, LIKELY = 20, 4, 16, 46
 _rng = np.random.default_rng(6)
 XOR, TIMES = (_rng.integers(0, 1 << 63, BANDS * ROWS, "u8") << np.uint64(1) | np.uint64(1) for _ in range(2))
 
 
-def bands(hashes: np.ndarray) -> np.ndarray:
-    """A key for every band from the distinct hashes of a text."""
+def signature(hashes: np.ndarray) -> np.ndarray:
+    """The least hashes of a text from its distinct hashes."""
     least = np.full(BANDS * ROWS, (1 << 64) - 1, "u8")
     for at in range(0, len(hashes), 4096):
         np.minimum(least, ((hashes[at : at + 4096, None] ^ XOR) * TIMES).min(0), out=least)
-    least = least.reshape(BANDS, ROWS)
-    return (least * TIMES[:ROWS]).sum(1, dtype="u8").view("i8")
+    return least
+
+
+def bands(least: np.ndarray) -> np.ndarray:
+    """A key for every band."""
+    return (least.reshape(BANDS, ROWS) * TIMES[:ROWS]).sum(1, dtype="u8").view("i8")
+
+
+def postings(prints: DataFrame) -> DataFrame:
+    return prints.select("h", F.posexplode("keys").alias("band", "key"))
 
 
 def candidates(prints: DataFrame) -> DataFrame:
     """Pairs (a, b), a < b, of texts that agree in a band."""
-    post = prints.select("h", F.posexplode("keys").alias("band", "key")).withColumn("o", F.xxhash64("h", "band"))
+    post = postings(prints).withColumn("o", F.xxhash64("h", "band"))
     post = post.repartitionByRange(width(prints), "band", "key", "o").sortWithinPartitions("band", "key", "o")
 
     def run(batches):
@@ -56,6 +72,57 @@ def candidates(prints: DataFrame) -> DataFrame:
     return post.select("h", "band", "key").mapInArrow(run, "a long, b long").where("a <> b").distinct()
 
 
+def same_prints(prints: DataFrame) -> DataFrame:
+    """Pairs (a, b) of texts whose fingerprints are equal or linked: each with the first of its own, and the first of linked ones."""
+    first = cut(prints.groupBy("fp").agg(F.min("h").alias("first")), "first-of-prints")
+    own = prints.join(first, "fp").select(F.col("first").alias("a"), F.col("h").alias("b"))
+    near = print_links(first).join(first.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a").join(first.select(F.col("fp").alias("b"), F.col("first").alias("y")), "b")
+    return own.union(near.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))).where("a <> b").distinct()
+
+
+def long_lists(prints: DataFrame, tied: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different groups that are likely similar, from lists of which :func:`candidates` paired neighbours only."""
+    post = postings(prints)
+    many = cut(post.groupBy("band", "key").agg(F.count("*").alias("n")).where(F.col("n") > NEXT + 1), "long-lists")
+    if many.isEmpty():
+        return prints.select(F.col("h").alias("a"), F.col("h").alias("b")).where("false")
+    rows = post.join(small(many.drop("n")), ["band", "key"]).join(tied, "h", "left").withColumn("root", F.coalesce("root", "h"))
+    by_group = rows.groupBy("band", "key", "root").agg(F.count("*").alias("n"))
+    most = by_group.groupBy("band", "key").agg(F.max_by("root", "n").alias("most"), F.count("*").alias("groups")).where("groups > 1").drop("groups")
+    rows = rows.join(most, ["band", "key"]).join(prints.select("h", "least"), "h").withColumn("far", F.col("root") != F.col("most"))
+    rows = rows.repartition(width(prints), "band", "key").sortWithinPartitions("band", "key", F.desc("far"), "h")
+
+    def close(held):
+        h, root, far = (np.concatenate([x[i] for x in held]) for i in range(3))
+        least = np.concatenate([x[3] for x in held])
+        found = []
+        for i in range(int(far.sum())):
+            rest = slice(i + 1, None)
+            at = np.flatnonzero(((least[rest] == least[i]).sum(1) >= LIKELY) & (root[rest] != root[i])) + i + 1
+            found += [(min(h[i], x), max(h[i], x)) for x in h[at].tolist()]
+        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
+
+    def run(batches):
+        held, last = [], None
+        for batch in batches:
+            band, key, h, root = (batch.column(c).to_numpy() for c in ("band", "key", "h", "root"))
+            far = batch.column("far").to_numpy(zero_copy_only=False)
+            least = np.frombuffer(b"".join(batch.column("least").to_pylist()), "u1").reshape(len(h), -1)
+            bounds = [0, *(np.flatnonzero((np.diff(band) != 0) | (np.diff(key) != 0)) + 1).tolist(), len(h)]
+            for x, y in zip(bounds, bounds[1:], strict=False):
+                if x == y:
+                    continue
+                if (band[x], key[x]) != last:
+                    if held:
+                        yield close(held)
+                    held, last = [], (band[x], key[x])
+                held.append((h[x:y], root[x:y], far[x:y], least[x:y]))
+        if held:
+            yield close(held)
+
+    return rows.select("band", "key", "h", "root", "far", "least").mapInArrow(run, "a long, b long").distinct()
+
+
 def links(texts: DataFrame, pairs: DataFrame, size: int, least: float) -> DataFrame:
     """The pairs whose shingle sets have Jaccard similarity ``least`` or more; ``texts`` has (h, t)."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
@@ -88,10 +155,22 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", si
     def run(batches):
         resident("jaccard")
         for batch in batches:
-            keys = [bands(np.unique(np.array(text_hashes(t.as_py(), size), "u8"))).tolist() if t.as_py().strip() else [] for t in batch.column("t")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "h", "keys"])
-
-    prints = cut(rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, h long, keys array<long>"), "bands")
-    pairs = cut(candidates(prints.groupBy("h").agg(F.first("keys").alias("keys"))), "pairs")
-    tied = components(links(rows.select("h", "t"), pairs, size, least)).withColumnRenamed("node", "h")
+            keys, low, prints = [], [], []
+            for t in batch.column("t"):
+                hashes = text_hashes(t.as_py(), size)
+                sig = signature(np.unique(np.array(hashes, "u8")))
+                keys.append(bands(sig).tolist() if hashes else [])
+                low.append((sig >> np.uint64(8)).astype("u1").tobytes() if hashes else b"")
+                prints.append(fingerprint(hashes) if hashes else None)
+            fp = pa.array([None if x is None else x - (x >> 63 << 64) for x in prints], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), pa.array(keys, pa.list_(pa.int64())), pa.array(low, pa.binary()), fp], ["doc_id", "h", "keys", "least", "fp"])
+
+    prints = cut(rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, h long, keys array<long>, least binary, fp long"), "prints")
+    texts = cut(prints.where("fp IS NOT NULL").groupBy("h").agg(*[F.first(c).alias(c) for c in ("keys", "least", "fp")]), "texts")
+    pairs = cut(candidates(texts).union(same_prints(texts.select("fp", "h"))).distinct(), "pairs")
+    found = cut(links(rows.select("h", "t"), pairs, size, least), "links")
+    tied = components(found).withColumnRenamed("node", "h")
+    more = cut(long_lists(texts, tied), "pairs-of-long-lists")
+    if not more.isEmpty():
+        tied = components(found.union(links(rows.select("h", "t"), more, size, least))).withColumnRenamed("node", "h")
     return prints.select("doc_id", "h").join(tied, "h", "left").select("doc_id", F.col("h").alias("text_hash"), F.coalesce("root", "h").alias("root"))

@@ -110,10 +110,11 @@ class _Union:
 
 def _compare(fps: np.ndarray, at: np.ndarray, sets: _Union) -> None:
     diff = fps[at][:, None] ^ fps[at][None, :]
-    equal = (diff.view("u1").reshape(len(at), len(at), 8) == 0).sum(2, dtype="u1")  # the tally of shared positional bytes
-    near = np.triu((equal >= LEAST_EQUAL) & (np.bitwise_count(diff) <= MOST), 1)
-    for i, j in zip(*np.nonzero(near), strict=True):
-        sets.join(int(at[i]), int(at[j]))
+    tally = (diff.view("u1").reshape(len(at), len(at), 8) == 0).sum(2, dtype="u1")  # shared positional bytes
+    i, j = np.nonzero(np.triu(tally >= LEAST_EQUAL, 1))  # the others can't be near
+    near = np.bitwise_count(diff[i, j]) <= MOST
+    for a, b in zip(at[i[near]].tolist(), at[j[near]].tolist(), strict=True):
+        sets.join(a, b)
 
 
 def _link(fps: np.ndarray, at: np.ndarray, free: list[int], sets: _Union) -> None:

@@ -50,3 +50,34 @@ def test_against_all_pairs(spark):
     assert sorted(map(sorted, found.values())) == sorted(map(sorted, want.values()))
     left = {r["doc_id"] for r in cp.drop_near_duplicates(spark, d, "").collect()}
     assert left == {min(x) for x in want.values()}
+
+
+def test_long_lists_are_compared_in_full(spark, monkeypatch):
+    """With one neighbour a band, the rest must find what the neighbours miss."""
+    monkeypatch.setattr(jaccard, "NEXT", 1)
+    rnd = random.Random(8)
+    shared = words(60, 77).split()
+    rows = []
+    for g in range(30):  # groups share a passage, members of a group nearly all
+        own = words(60, 500 + g).split()
+        for k in range(4):
+            w = [*shared, *own]
+            w[60 + rnd.randrange(60)] = f"x{g}{k}"
+            rows.append((len(rows), " ".join(w)))
+    d = docs(spark, rows)
+    found = {}
+    for r in jaccard.near_duplicates(d).collect():
+        found.setdefault(r["root"], set()).add(r["doc_id"])
+    assert sorted(map(sorted, found.values())) == [list(range(4 * g, 4 * g + 4)) for g in range(30)]
+    texts = [jaccard.signature(jaccard.np.unique(jaccard.np.array(jaccard.text_hashes(t, 5), "u8"))) for _, t in rows]
+    prints = spark.createDataFrame([(i, jaccard.bands(x).tolist(), bytearray((x >> jaccard.np.uint64(8)).astype("u1").tobytes())) for i, x in enumerate(texts)], "h long, keys array<long>, least binary")
+    none = spark.createDataFrame([], "h long, root long")
+    sure = {(r["a"], r["b"]) for r in jaccard.long_lists(prints, none).collect()}
+    assert sure and all(b - a < 4 and a // 4 == b // 4 for a, b in sure if (texts[a] == texts[b]).sum() >= 60)
+    lists = {}
+    for i, x in enumerate(texts):
+        for band, key in enumerate(jaccard.bands(x).tolist()):
+            lists.setdefault((band, key), []).append(i)
+    want = {(a, b) for m in lists.values() if len(m) > 2 for a in m for b in m if a < b and ((texts[a] >> jaccard.np.uint64(8)).astype("u1") == (texts[b] >> jaccard.np.uint64(8)).astype("u1")).sum() >= jaccard.LIKELY}
+    largest = {key: m for key, m in lists.items() if len(m) > 2}
+    assert sure == want and largest
