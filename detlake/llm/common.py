@@ -2,70 +2,17 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
+import ctypes
+import gc
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import cut, path as scratch_path  # noqa: F401
+
 #: ASCII white space; words are the runs of anything else.
 SPACE = r"[\x20\x09-\x0D]+"
 
-_made: list[tuple[SparkSession, str]] = []
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
-@atexit.register
-def release_scratch() -> None:
-    """Delete every scratch table this process wrote (also runs at exit)."""
-    while _made:
-        try:
-            _delete(*_made.pop())
-        except Exception:  # noqa: BLE001 - the session may be gone already
-            return
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` of the session.
-
-    Only where the setting is absent (local tests) is a temporary folder used.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = spark.sparkContext.getCheckpointDir()
-    if not found:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="detlake-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder, removed when the process ends."""
-    path = f"{shared_dir(spark)}/detlake-{name}-{uuid.uuid4().hex}"
-    _made.append((spark, path))
-    return path
-
-
-def cut(df: DataFrame, name: str, *by: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends there.
-
-    A lost executor then costs a re-read, not a recomputation.
-    """
-    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*by) if by else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given Parquet tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -91,14 +38,20 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 _resident: dict = {}
+#: The C library's call that returns free memory, where it has one.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", lambda pad: 0)
 
 
 def resident(key, make=lambda: None):
     """What ``make`` returns, kept in this Python worker until another key is asked for.
 
-    Workers are reused by later tasks and stages: tables of an earlier operator must not stay beside the next one's.
+    Workers are reused by later tasks and stages: tables of an earlier operator must not stay beside the next one's,
+    and what they leave goes back to the system.
     """
     if key not in _resident:
-        _resident.clear()
+        if _resident:
+            _resident.clear()
+            gc.collect()
+            _trim(0)
         _resident[key] = make()
     return _resident[key]

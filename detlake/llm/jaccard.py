@@ -3,17 +3,18 @@
 The fingerprints of ``simhash`` find what lies within three bits for certain.
 But texts of similarity 0.8 differ in some ten of 64 bits, and beyond seven no
 positional byte need be equal: an index of bytes can't find them.  So the
-``BANDS`` x ``ROWS`` least hashes of a text's shingles are taken as well; texts
-that agree in a band are sorted side by side and each is paired with the
-``NEXT`` after it, in an order that differs by band, so a long list never turns
-into all its pairs and is split among tasks.  Two texts of similarity 0.8 share
-a band with probability 0.99997.  A pair is a link only if the similarity of its
-full shingle sets reaches the bound; a group is a component of links.
-
-Lists longer than ``NEXT`` whose members aren't all in one group by then are
-compared in full: a member outside the list's largest group with all members of
-other groups, by the agreement of the least hashes (``LIKELY`` of them, five
-deviations under what similarity 0.8 gives), and what agrees is verified as well.
+``BANDS`` x ``ROWS`` least hashes of a text's shingles are taken as well, and
+texts that agree in a band form a list.  Two texts of similarity 0.8 share a list
+with probability 0.99997.  First, each text is paired with the next of its list;
+since the order is the same in every list, a group of copies yields few pairs
+however large it is, and a long list is split among tasks.  A pair is a link only
+if the similarity of its full shingle sets reaches the bound; a group is a
+component of links.
+
+Then lists whose members aren't all in one group are compared in full: a member
+outside the list's largest group with all members of other groups, by the
+agreement of the least hashes (``LIKELY`` of them, five deviations under what
+similarity 0.8 gives), and what agrees is verified as well.
 Null texts are empty; texts without words are alike only if they are equal.
 """
 
@@ -28,7 +29,7 @@ from .common import cut, resident, small, width
 from .simhash import components, fingerprint, text_hashes
 from .simhash import links as print_links
 
-BANDS, ROWS, NEXT, LIKELY = 20, 4, 16, 46
+BANDS, ROWS, LIKELY = 20, 4, 46
 _rng = np.random.default_rng(6)
 XOR, TIMES = (_rng.integers(0, 1 << 63, BANDS * ROWS, "u8") << np.uint64(1) | np.uint64(1) for _ in range(2))
 
@@ -51,25 +52,18 @@ def postings(prints: DataFrame) -> DataFrame:
 
 
 def candidates(prints: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b, of texts that agree in a band."""
-    post = postings(prints).withColumn("o", F.xxhash64("h", "band"))
-    post = post.repartitionByRange(width(prints), "band", "key", "o").sortWithinPartitions("band", "key", "o")
+    """Pairs (a, b), a < b, of texts that are neighbours in a list."""
+    post = postings(prints).repartitionByRange(width(prints), "band", "key", "h").sortWithinPartitions("band", "key", "h")
 
     def run(batches):
-        tail = [np.zeros(0, "i8")] * 3
+        last = [np.zeros(0, "i8")] * 3
         for batch in batches:
-            h, band, key = (np.concatenate([t, batch.column(c).to_numpy()]) for t, c in zip(tail, ("h", "band", "key"), strict=True))
-            a, b = [], []
-            for step in range(1, min(NEXT, len(h) - 1) + 1):
-                same = np.flatnonzero((band[step:] == band[:-step]) & (key[step:] == key[:-step]))
-                same = same[same + step >= len(tail[0])]  # the others were paired before
-                a.append(np.minimum(h[same], h[same + step]))
-                b.append(np.maximum(h[same], h[same + step]))
-            tail = [x[-NEXT:] for x in (h, band, key)]
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+            h, band, key = (np.concatenate([t, batch.column(c).to_numpy()]) for t, c in zip(last, ("h", "band", "key"), strict=True))
+            same = np.flatnonzero((band[1:] == band[:-1]) & (key[1:] == key[:-1]))
+            last = [x[-1:] for x in (h, band, key)]
+            yield pa.RecordBatch.from_arrays([pa.array(h[same]), pa.array(h[same + 1])], ["a", "b"])
 
-    return post.select("h", "band", "key").mapInArrow(run, "a long, b long").where("a <> b").distinct()
+    return post.select("h", "band", "key").mapInArrow(run, "a long, b long").where("a < b").distinct()
 
 
 def same_prints(prints: DataFrame) -> DataFrame:
@@ -80,15 +74,14 @@ def same_prints(prints: DataFrame) -> DataFrame:
     return own.union(near.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))).where("a <> b").distinct()
 
 
-def long_lists(prints: DataFrame, tied: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different groups that are likely similar, from lists of which :func:`candidates` paired neighbours only."""
-    post = postings(prints)
-    many = cut(post.groupBy("band", "key").agg(F.count("*").alias("n")).where(F.col("n") > NEXT + 1), "long-lists")
-    if many.isEmpty():
-        return prints.select(F.col("h").alias("a"), F.col("h").alias("b")).where("false")
-    rows = post.join(small(many.drop("n")), ["band", "key"]).join(tied, "h", "left").withColumn("root", F.coalesce("root", "h"))
+def divided_lists(prints: DataFrame, tied: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different groups that are likely similar, from lists with members of several groups."""
+    post = postings(prints).join(small(tied), "h", "left").withColumn("root", F.coalesce("root", "h"))
+    ends = post.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    several = cut(ends.where("n > 2 AND lo <> hi").select("band", "key"), "divided-lists")
+    rows = cut(post.join(small(several), ["band", "key"]), "divided-members")
     by_group = rows.groupBy("band", "key", "root").agg(F.count("*").alias("n"))
-    most = by_group.groupBy("band", "key").agg(F.max_by("root", "n").alias("most"), F.count("*").alias("groups")).where("groups > 1").drop("groups")
+    most = by_group.groupBy("band", "key").agg(F.max_by("root", F.struct("n", "root")).alias("most"))
     rows = rows.join(most, ["band", "key"]).join(prints.select("h", "least"), "h").withColumn("far", F.col("root") != F.col("most"))
     rows = rows.repartition(width(prints), "band", "key").sortWithinPartitions("band", "key", F.desc("far"), "h")
 
@@ -170,7 +163,7 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", si
     pairs = cut(candidates(texts).union(same_prints(texts.select("fp", "h"))).distinct(), "pairs")
     found = cut(links(rows.select("h", "t"), pairs, size, least), "links")
     tied = components(found).withColumnRenamed("node", "h")
-    more = cut(long_lists(texts, tied), "pairs-of-long-lists")
+    more = cut(divided_lists(texts, tied), "pairs-of-divided-lists")
     if not more.isEmpty():
         tied = components(found.union(links(rows.select("h", "t"), more, size, least))).withColumnRenamed("node", "h")
     return prints.select("doc_id", "h").join(tied, "h", "left").select("doc_id", F.col("h").alias("text_hash"), F.coalesce("root", "h").alias("root"))

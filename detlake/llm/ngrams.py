@@ -61,16 +61,15 @@ def _key(h: np.ndarray, k: int) -> np.ndarray:
     return x >> np.uint64(64 - KEY)
 
 
-def tops(a: np.ndarray) -> np.ndarray:
-    """The key of the n-gram of order ``N`` that ends at every symbol (the first ``N`` - 1 are void)."""
-    out = np.zeros(len(a), "u8")
-    for at in range(N - 1, len(a), STEP):
-        part = a[at - (N - 1) : at + STEP].astype("u8")
-        n = len(part) - (N - 1)
-        h = np.zeros(n, "u8")
+def tops(a: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The keys of the n-grams of order ``N`` that end at ``ends``, none of which is among the first ``N`` - 1."""
+    out = np.zeros(len(ends), "u8")
+    for i in range(0, len(ends), STEP):
+        at = ends[i : i + STEP]
+        h = np.zeros(len(at), "u8")
         for k in range(N):
-            h += part[N - 1 - k : N - 1 - k + n] * TIMES[k]
-        out[at : at + n] = _key(h, N)
+            h += a[at - k].astype("u8") * TIMES[k]
+        out[i : i + len(at)] = _key(h, N)
     return out
 
 
@@ -119,7 +118,7 @@ def ends_of(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def distinct(a: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of the n-grams of order ``N`` that end at ``at``: the number of each, and the distinct ones as rows of symbols."""
-    top = tops(a)[at]
+    top = tops(a, at)
     code, found = pd.factorize(top)
     del top
     code = code.astype("i4")
@@ -153,7 +152,7 @@ def count(docs: DataFrame, text: str = "text") -> DataFrame:
         def close():
             a = np.concatenate(held.parts)
             _, ends = ends_of(np.array([len(p) for p in held.parts]))
-            code, found = distinct(a, np.flatnonzero(ends & (a != BEFORE)))
+            code, found = distinct(a, np.flatnonzero(ends & (a != BEFORE)).astype("i4"))
             n = np.bincount(code, minlength=len(found))
             for i in range(0, len(found), 100_000):
                 grams = np.ascontiguousarray(found[i : i + 100_000]).view(f"<U{N}")[:, 0]

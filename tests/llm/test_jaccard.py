@@ -24,7 +24,7 @@ def test_against_all_pairs(spark):
                 w[at] = f"new{rnd.randrange(10**6)}"
             rows.append((len(rows), " ".join(w)))
     base = words(300, 9).split()
-    rows += [(len(rows) + i, " ".join([*base, f"end{i}"])) for i in range(60)]  # a list longer than NEXT
+    rows += [(len(rows) + i, " ".join([*base, f"end{i}"])) for i in range(60)]  # a long list
     rows += [(1000, None), (1001, ""), (1002, " . "), (1003, "one two"), (1004, "One  two")]
     sets = {i: shingles(t) for i, t in rows}
     up = {i: i for i in sets}
@@ -52,9 +52,8 @@ def test_against_all_pairs(spark):
     assert left == {min(x) for x in want.values()}
 
 
-def test_long_lists_are_compared_in_full(spark, monkeypatch):
-    """With one neighbour a band, the rest must find what the neighbours miss."""
-    monkeypatch.setattr(jaccard, "NEXT", 1)
+def test_divided_lists_are_compared_in_full(spark):
+    """What neighbours in a list miss, the rest must find."""
     rnd = random.Random(8)
     shared = words(60, 77).split()
     rows = []
@@ -72,7 +71,7 @@ def test_long_lists_are_compared_in_full(spark, monkeypatch):
     texts = [jaccard.signature(jaccard.np.unique(jaccard.np.array(jaccard.text_hashes(t, 5), "u8"))) for _, t in rows]
     prints = spark.createDataFrame([(i, jaccard.bands(x).tolist(), bytearray((x >> jaccard.np.uint64(8)).astype("u1").tobytes())) for i, x in enumerate(texts)], "h long, keys array<long>, least binary")
     none = spark.createDataFrame([], "h long, root long")
-    sure = {(r["a"], r["b"]) for r in jaccard.long_lists(prints, none).collect()}
+    sure = {(r["a"], r["b"]) for r in jaccard.divided_lists(prints, none).collect()}
     assert sure and all(b - a < 4 and a // 4 == b // 4 for a, b in sure if (texts[a] == texts[b]).sum() >= 60)
     lists = {}
     for i, x in enumerate(texts):
