@@ -13,6 +13,7 @@ from ..scratch import cut, path as scratch_path  # noqa: F401
 #: ASCII white space; words are the runs of anything else.
 SPACE = r"[\x20\x09-\x0D]+"
 
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given Parquet tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

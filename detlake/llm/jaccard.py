@@ -125,7 +125,7 @@ def links(texts: DataFrame, pairs: DataFrame, size: int, least: float) -> DataFr
             found = [np.unique(np.array(text_hashes(t.as_py(), size), "u8")).tobytes() for t in batch.column("t")]
             yield pa.RecordBatch.from_arrays([batch.column("h"), pa.array(found, pa.binary())], ["h", "set"])
 
-    full = cut(texts.join(asked, "h", "left_semi").dropDuplicates(["h"]).mapInArrow(sets, "h long, set binary"), "shingles")
+    full = cut(texts.join(small(asked), "h", "left_semi").dropDuplicates(["h"]).mapInArrow(sets, "h long, set binary"), "shingles")
 
     def compare(batches):
         for batch in batches:
