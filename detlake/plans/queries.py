@@ -675,3 +675,6 @@ def streamed_hourly_counts(spark, sf_dir):
     run = stream.writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start()
     run.awaitTermination()
     return spark.table(name).select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", _r("total", 4).alias("total"))
+
+
+from . import more_queries  # noqa: E402, F401 - registers its queries, which use what stands above
