@@ -16,7 +16,8 @@ shard.  Shards and blocks of queries are rows of tables in the shared folder.
 
 Vectors that are null, zero, of another length than the most frequent one or hold
 null or non-finite components take no part.  Rows with a null id take no part.
-Repeated rows with one id count once.  Ties go to the smaller id.  An index
+Of rows with one id the least vector counts.  Single-precision vectors stay such,
+any others are double; the graph alone is always single.  Ties go to the smaller id.  An index
 covers every other row; recall is measured against brute force in the tests.
 """
 
@@ -32,7 +33,7 @@ from pyspark.sql.window import Window
 from .common import cut
 
 #: Distinct vectors in a shard, about; queries in a block.
-SHARD_ROWS, QUERY_BLOCK = 4096, 512
+SHARD_ROWS, QUERY_BLOCK = 16384, 512
 DEGREE, BEAM, ALPHA = 32, 64, 1.2
 #: Beam of a query's search.
 SEARCH_BEAM = 160
@@ -149,11 +150,17 @@ def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def usable(vectors: DataFrame, id_: str, column: str) -> DataFrame:
-    """(id, v) of the rows that take part, each id once."""
+    """(id, v) of the rows that take part, each id once; v is an array of float where the column is one, else of double."""
+    kind = "array<float>" if vectors.schema[column].dataType.simpleString() == "array<float>" else "array<double>"
     v = F.col(column).cast("array<double>")
     fine = v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
-    rows = vectors.select(F.col(id_).cast("long").alias("id"), F.col(column).cast("array<float>").alias("v"), fine.alias("ok")).where("ok AND id IS NOT NULL")
-    return rows.select("id", "v").dropDuplicates(["id"])
+    rows = vectors.select(F.col(id_).cast("long").alias("id"), F.col(column).cast(kind).alias("v"), fine.alias("ok")).where("ok AND id IS NOT NULL")
+    return rows.groupBy("id").agg(F.min("v").alias("v"))
+
+
+def stored(rows: DataFrame) -> str:
+    """How numpy names the components of ``v``."""
+    return "<f4" if rows.schema["v"].dataType.simpleString() == "array<float>" else "<f8"
 
 
 SHARD = "shard int, ids binary, counts binary, vectors binary, graph binary, entry int"
@@ -161,7 +168,7 @@ SHARD = "shard int, ids binary, counts binary, vectors binary, graph binary, ent
 
 def index(rows: DataFrame, top: int, shards: int) -> DataFrame:
     """One row per shard (0 to ``shards`` - 1, empty ones missing): distinct vectors, their least ``top`` + 1 ids, and the graph."""
-    hashed = rows.withColumn("h", F.xxhash64("v"))
+    kind, hashed = stored(rows), rows.withColumn("h", F.xxhash64("v"))
     few = Window.partitionBy("h", "v").orderBy("id")
     kept = hashed.withColumn("nth", F.row_number().over(few)).where(F.col("nth") <= top + 1).withColumn("shard", F.pmod("h", F.lit(shards)).cast("int"))
 
@@ -170,7 +177,7 @@ def index(rows: DataFrame, top: int, shards: int) -> DataFrame:
         keys = [v.tobytes() for v in pdf["v"]]
         place: dict[bytes, int] = {}
         which = np.array([place.setdefault(k, len(place)) for k in keys])
-        raw = np.frombuffer(b"".join(place), "<f4").reshape(len(place), -1)
+        raw = np.frombuffer(b"".join(place), kind).reshape(len(place), -1)
         unit = (raw.astype("f8") / np.sqrt((raw.astype("f8") ** 2).sum(1, keepdims=True))).astype("f4")
         graph, entry = build_graph(unit)
         order = np.lexsort((pdf["id"].to_numpy(), which))
@@ -183,6 +190,7 @@ def index(rows: DataFrame, top: int, shards: int) -> DataFrame:
 def search(rows: DataFrame, every: int = 50, top: int = 5, beam: int = SEARCH_BEAM, id_: str = "vec_id", column: str = "embedding") -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: the ``top`` nearest found of each row whose id divides by ``every``."""
     rows = cut(usable(rows, id_, column), "vectors")
+    kind = stored(rows)
     usual = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     rows = rows.where(F.size("v") == (usual["n"] if usual else 0))
     n_shards = max(1, -(-rows.count() // SHARD_ROWS))
@@ -198,12 +206,12 @@ def search(rows: DataFrame, every: int = 50, top: int = 5, beam: int = SEARCH_BE
         for frame in frames:
             for r in frame.itertuples(index=False):
                 counts = np.frombuffer(r.counts, "<i4")
-                ids, raw = np.frombuffer(r.ids, "<i8"), np.frombuffer(r.vectors, "<f4").reshape(len(counts), -1)
+                ids, raw = np.frombuffer(r.ids, "<i8"), np.frombuffer(r.vectors, kind).reshape(len(counts), -1)
                 graph = np.frombuffer(r.graph, "<i4").reshape(len(counts), -1)
                 unit = (raw.astype("f8") / np.sqrt((raw.astype("f8") ** 2).sum(1, keepdims=True))).astype("f4")
                 start = np.concatenate([[0], np.cumsum(counts)])
                 qid = np.array([x["id"] for x in r.q], "i8")
-                qv = np.array([x["v"] for x in r.q], "f4")
+                qv = np.array([x["v"] for x in r.q], kind)
                 qu = (qv.astype("f8") / np.sqrt((qv.astype("f8") ** 2).sum(1, keepdims=True))).astype("f4")
                 found, dist, _ = beam_search(unit, graph, int(r.entry), qu, beam)
                 a, b = np.nonzero((found >= 0) & np.isfinite(dist))

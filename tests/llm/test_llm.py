@@ -559,3 +559,13 @@ def test_containment_without_broadcast(spark, monkeypatch):
     want = sorted(map(tuple, decontaminate.contained(d, b).collect()))
     monkeypatch.setattr(decontaminate, "small", lambda df, rows=0: df)
     assert sorted(map(tuple, decontaminate.contained(d, b).collect())) == want and common.BROADCAST_ROWS > 0
+
+
+def test_double_vectors_stay_double(spark):
+    rnd = np.random.default_rng(11)
+    vecs = 1 + 1e-9 * rnd.normal(size=(60, 8))  # alike in single precision
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vecs)] + [(3, [9.0] * 8)], "vec_id long, embedding array<double>")
+    got = ann.search(df, every=50, top=5).collect()
+    for q in (0, 50):
+        best = sorted((-float(ann.cosine(vecs[q], v)), i) for i, v in enumerate(vecs) if i != q)[:5]
+        assert [(r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] == [(i, pytest.approx(-d, abs=1e-15)) for d, i in best]
