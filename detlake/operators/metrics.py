@@ -22,15 +22,13 @@ def accuracy_long(df: DataFrame, iou: str = "iou", levels: Sequence[float] = LEV
     return wide.select(*keys, F.inline(F.array(*[F.struct(F.lit(t).alias("threshold"), F.col(f"a{i}").alias("accuracy")) for i, t in enumerate(levels)])))
 
 
-def summary(results: DataFrame, levels: Sequence[float] = LEVELS, per_task: bool = False) -> DataFrame:
-    """One row: mean IoU, accuracy map, detection rate, total (and the tasks); an empty input has an empty accuracy map."""
+def summary(results: DataFrame, levels: Sequence[float] = LEVELS) -> DataFrame:
+    """One row: mean IoU, accuracy map, detection rate, total (the tasks are the rows of ``results``); an empty input has an empty accuracy map."""
     aggs = [
         F.coalesce(F.avg("iou"), F.lit(0.0)).alias("mean_iou"),
         *[accuracy(F.col("iou"), t).alias(f"_a{i}") for i, t in enumerate(levels)],
         F.coalesce(F.avg(F.col("has_prediction").cast("double")), F.lit(0.0)).alias("detection_rate"), F.count("*").alias("total"),
     ]
-    if per_task:
-        aggs.append(F.array_sort(F.collect_list(F.struct("task", "label", "iou", "pred_score", "has_prediction"))).alias("per_task"))
     keys = F.when(F.col("total") > 0, F.array(*[F.lit(str(t)) for t in levels])).otherwise(F.array().cast("array<string>"))
     values = F.when(F.col("total") > 0, F.array(*[F.col(f"_a{i}") for i in range(len(levels))])).otherwise(F.array().cast("array<double>"))
     out = results.agg(*aggs).withColumn("accuracy", F.map_from_arrays(keys, values))

@@ -96,7 +96,7 @@ def evaluate(truth: DataFrame, predictions: DataFrame, box_rule=None) -> tuple[D
     gt, pred = boxes.of_array(F.col("bbox")), boxes.box(F.col("box"))
     has = F.col("box").isNotNull()
     rows = best.select("task", "label", F.when(has, (box_rule or boxes.iou)(gt, pred)).otherwise(0.0).alias("iou"), F.col("bbox").alias("gt_bbox"), F.when(has, F.array(*pred)).alias("pred_bbox"), F.col("score").alias("pred_score"), has.alias("has_prediction"))
-    return rows, metrics.summary(rows, per_task=True)
+    return rows, metrics.summary(rows)
 
 
 def evaluate_styles(truth: DataFrame, detect) -> DataFrame:

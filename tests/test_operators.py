@@ -161,8 +161,8 @@ def test_negatives_are_absent(spark):
 
 def test_metrics(spark):
     df = spark.createDataFrame([("a", "x", .8, .9, True), ("b", "y", .3, .7, True), ("c", "z", 0.0, 0.0, False)], "task string, label string, iou double, pred_score double, has_prediction boolean")
-    s = metrics.summary(df, per_task=True).first()
-    assert s["detection_rate"] == pytest.approx(2 / 3) and s["mean_iou"] == pytest.approx(1.1 / 3) and len(s["per_task"]) == 3
+    s = metrics.summary(df).first()
+    assert s["detection_rate"] == pytest.approx(2 / 3) and s["mean_iou"] == pytest.approx(1.1 / 3) and s["total"] == 3
     empty = metrics.summary(df.where("false")).first()
     assert (empty["mean_iou"], empty["accuracy"], empty["detection_rate"], empty["total"]) == (0, {}, 0, 0)
     acc = spark.createDataFrame([(x,) for x in (.6, .3, .8, .1)], "iou double")
