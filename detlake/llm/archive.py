@@ -5,7 +5,9 @@ whose third the fields of the header lines that follow: five in version 1, ten
 in version 2.  Every record is a header line and as many bytes as it declares.
 The converter walks a stream by these lengths alone and synthesises what WARC
 asks for: record identifiers (from what the record is), ISO timestamps, types
-and SHA-1 digests in base 32.
+and SHA-1 digests in base 32.  Blocks are HTTP responses whose body is the
+payload (of a revisit, the head alone), and every archive opens with a warcinfo
+record.
 
 Archives are written and read by Spark's text source with the record terminator
 as line separator, so they live wherever Spark can write, one file a partition;
@@ -27,6 +29,7 @@ from typing import NamedTuple
 from urllib.parse import quote
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +41,8 @@ ARC_FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
     2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length",
 }
+#: Digests that are broadcast, at most, because many pages have them.
+MOST_OFTEN = 100_000
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
@@ -116,6 +121,19 @@ def iso_date(arc_date: str) -> str:
     return f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
 
 
+def http_head(record: ArcRecord) -> bytes:
+    """The head of the HTTP response a record stands for."""
+    status = record.status if record.status and record.status.isdigit() else "200"
+    return f"HTTP/1.1 {status} {'OK' if status == '200' else ''}\r\nContent-Type: {record.mime}\r\nContent-Length: {len(record.payload)}".encode() + END
+
+
+def warc_info(part: int) -> bytes:
+    """The record that opens an archive, without its terminator."""
+    block = b"software: detlake\r\nformat: WARC File Format 1.1\r\n"
+    head = ["WARC/1.1", "WARC-Type: warcinfo", f"WARC-Record-ID: {record_id('warcinfo', part)}", "WARC-Date: 2024-01-01T00:00:00Z", "Content-Type: application/warc-fields", f"Content-Length: {len(block)}"]
+    return "\r\n".join(head).encode() + END + block
+
+
 def record_id(*parts: object) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, '|'.join(map(str, parts)))}>"
 
@@ -123,11 +141,11 @@ def record_id(*parts: object) -> str:
 def warc_record(record: ArcRecord, page_id: int | None, refers_to: int | None) -> bytes:
     """The WARC record of an ARC record, without its terminator."""
     digest = base32_sha1(record.payload)
-    block = record.payload if refers_to is None else b""
+    block = http_head(record) + (record.payload if refers_to is None else b"")
     head = [
         "WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
         f"WARC-Record-ID: {record_id(page_id, digest)}", f"WARC-Date: {iso_date(record.date)}", f"WARC-Target-URI: {record.url}",
-        f"WARC-IP-Address: {record.ip}", f"Content-Type: {record.mime}",
+        f"WARC-IP-Address: {record.ip}", "Content-Type: application/http; msgtype=response",
         f"WARC-Payload-Digest: sha1:{digest}", f"WARC-Block-Digest: sha1:{base32_sha1(block)}", f"X-Payload-Length: {len(record.payload)}",
     ]
     if page_id is not None:
@@ -181,12 +199,20 @@ def write_warc(pages: DataFrame, path: str, least_bytes: int = 0, arc_versions:
     rows = rows.withColumn("digest", payload_digest(F.col("payload")))
     slim = cut(rows.where(F.length("payload") >= least_bytes).select("page_id", "digest"), "digests")
     first = slim.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1 AND refers_to IS NOT NULL")
-    revisits = slim.join(first, "digest").where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select(F.col("page_id").alias("_page"), F.col("digest").alias("_digest"), "refers_to").distinct()
+    first = cut(first, "repeated-digests")
+    # digests with a hundred-thousandth of the pages or more: so many at most, and no other digest can fill a task
+    often = F.col("n") * MOST_OFTEN >= slim.count()
+    found = slim.join(F.broadcast(first.where(often).drop("n")), "digest", "left")
+    rest = found.where("refers_to IS NULL").drop("refers_to").join(first.where(~often).drop("n"), "digest")
+    found = found.where("refers_to IS NOT NULL").unionByName(rest)
+    revisits = found.where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select(F.col("page_id").alias("_page"), F.col("digest").alias("_digest"), "refers_to").distinct()
     revisits = small(cut(revisits, "revisits"))
     joined = rows.join(revisits, F.col("page_id").eqNullSafe(F.col("_page")) & (F.col("digest") == F.col("_digest")), "left")
 
     def run(batches):
         for n, batch in enumerate(batches):
+            if n == 0:
+                yield pa.RecordBatch.from_arrays([pa.array([warc_info(TaskContext.get().partitionId())], pa.binary())], ["value"])
             ids, urls, refs = (batch.column(c).to_pylist() for c in ("page_id", "url", "refers_to"))
             version = arc_versions[n % len(arc_versions)]
 
@@ -214,7 +240,7 @@ READ = "page_id long, url string, date string, payload_bytes long, payload_diges
 
 
 def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """Records of the archives under ``path``; a response's digest is checked against its block."""
+    """Records of the archives under ``path``; a response's digest is checked against its payload."""
     lines = spark.read.option("lineSep", END.decode()).text(path).select(F.col("value").cast("binary").alias("value"))
     names = [x.split()[0] for x in READ.split(", ")]
     schema = READ if payloads else READ.rpartition(", ")[0]
@@ -235,9 +261,13 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols[:keep], types[:keep], strict=True)], names[:keep])
 
         for head, block in parse_warc(line()):
+            if head["warc-type"] == "warcinfo":
+                continue
+            if head["content-type"].startswith("application/http"):
+                block = block.partition(END)[2]
             digest = head["warc-payload-digest"].removeprefix("sha1:")
             if head["warc-type"] == "response" and base32_sha1(block) != digest:
-                raise ValueError(f"digest of {head['warc-record-id']} does not fit its block")
+                raise ValueError(f"digest of {head['warc-record-id']} does not fit its payload")
             got.append((number(head.get("x-page-id")), head["warc-target-uri"], head["warc-date"], int(head["x-payload-length"]), digest, head["warc-type"], number(head.get("x-refers-to-page")), block if payloads else None))
             size += len(block) if payloads else 200
             if size > 8_000_000:

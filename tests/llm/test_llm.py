@@ -113,6 +113,34 @@ def test_arc_versions_round_trip_in_any_chunks():
     assert archive.iso_date("1999010203") == "1999-01-02T03:00:00Z"
 
 
+def test_archives_hold_http_responses_behind_a_warcinfo_record(spark, tmp_path):
+    rows = [(1, "http://a/1", b"<p>one\r\n\r\ntwo</p>"), (2, "http://a/2", b"<p>one\r\n\r\ntwo</p>"), (3, "http://a/3", b"")]
+    archive.write_warc(spark.createDataFrame(rows, "page_id long, url string, payload binary").coalesce(1), f"{tmp_path}/warc")
+    import gzip
+
+    (name,) = (tmp_path / "warc").glob("part-*.gz")
+    raw = gzip.open(name).read()
+    assert raw.startswith(b"WARC/1.1\r\nWARC-Type: warcinfo\r\n")
+    got = {h.get("x-page-id"): (h, b) for h, b in archive.parse_warc(raw.removesuffix(archive.END).split(archive.END))}
+    assert len(got) == 4 and set(got) == {None, "1", "2", "3"}
+    for i, _, payload in rows:
+        head, block = got[str(i)]
+        http, _, body = block.partition(archive.END)
+        assert head["content-type"] == "application/http; msgtype=response" and http.startswith(b"HTTP/1.1 200 OK\r\n")
+        assert body == (b"" if i == 2 else payload) and head["warc-payload-digest"] == "sha1:" + archive.base32_sha1(payload)
+        assert head["warc-block-digest"] == "sha1:" + archive.base32_sha1(block)
+    assert [got[str(i)][0]["warc-type"] for i in (1, 2, 3)] == ["response", "revisit", "response"]
+    back = {r["page_id"]: (r["payload"], r["refers_to"]) for r in archive.read_warc(spark, f"{tmp_path}/warc").collect()}
+    assert {k: (bytes(p), r) for k, (p, r) in back.items()} == {1: (rows[0][2], None), 2: (b"", 1), 3: (b"", None)}
+
+
+def test_archives_join_rare_and_frequent_copies_alike(spark, monkeypatch):
+    monkeypatch.setattr(archive, "MOST_OFTEN", 4)  # a digest with a quarter of the pages is frequent
+    html = [None, "", "", "", "", "x", "x", "y", "z", "x" * 9]
+    got = archive.archive_and_read(spark.createDataFrame(list(enumerate(html)), "page_id long, html string").withColumn("url", F.lit("u"))).collect()
+    assert {r["page_id"]: r["refers_to"] for r in got} == {0: None, 1: 0, 2: 0, 3: 0, 4: 0, 5: None, 6: 5, 7: None, 8: None, 9: None}
+
+
 def test_archives_read_back_what_was_written(spark):
     odd = "a\r\n\r\nWARC/1.1\r\nb\r\n\r\n\r\n"
     rows = [(1, "http://a/ b", "<p>x</p>"), (2, None, None), (3, "u", ""), (9, "u", "<p>x</p>"), (4, "u", odd), (5, "u", "é" * 30_000), (7, "u", "end\r\n"), (None, "u", "<p>x</p>"), (1, "http://a/ b", "<p>x</p>"), (None, "v", "only")]
