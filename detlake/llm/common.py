@@ -5,7 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..scratch import cut, path as scratch_path  # noqa: F401
@@ -38,6 +38,16 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+#: Bytes up to which a side of long columns is broadcast.
+BROADCAST_BYTES = 64 << 20
+
+
+def small_bytes(df: DataFrame, size: Column, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if the sizes of its rows (``size``, bytes of its long columns) sum to few bytes, else as it is."""
+    n, total = df.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(df) if n <= BROADCAST_ROWS and total <= most else df
+
+
 _resident: dict = {}
 #: The C library's call that returns free memory, where it has one.
 _trim = getattr(ctypes.CDLL(None), "malloc_trim", lambda pad: 0)

@@ -21,11 +21,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, small
+from .common import cut, small, small_bytes
 
 WORDS = r"[^\p{L}\p{M}\p{N}]+"
-#: Items up to which their shingles are broadcast; beyond, the same join is shuffled.
-MAX_ITEMS = 10_000
 
 
 def words(text: Column) -> Column:
@@ -74,7 +72,7 @@ def contained(docs: DataFrame, items: DataFrame, doc: str = "doc_id", text: str
     found = cut(found.drop("n"), "candidates")
 
     keys = found.select("doc_id", "text_hash").distinct()
-    asked = found.join(small(known, MAX_ITEMS), "nth").groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("item_id", "nth", "shingles")).alias("items"))
+    asked = found.join(small_bytes(known, F.octet_length(F.array_join("shingles", "")) + 32 * F.size("shingles")), "nth").groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("item_id", "nth", "shingles")).alias("items"))
     same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["text_hash"] == b["text_hash"])
     few = small(keys)
     hit = body.join(few, same(body, few), "left_semi").dropDuplicates(["doc_id", "text_hash"])
