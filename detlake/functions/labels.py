@@ -90,8 +90,19 @@ def prompt_variants(prompt: Column, label: Column) -> Column:
 
 
 def export_round(value: Column) -> Column:
-    """Two places, half to even on the stored value; for export only, the lake keeps raw values."""
-    return F.bround(value, 2)
+    """Two places, correctly rounded: the binary value decides, halves go to even (2.675, stored below it, gives 2.67).
+
+    For export only, the lake keeps raw values.  The value is split into parts
+    whose products with 200 are exact, so its place beside the half is known exactly.
+    """
+    v = value.cast("double")
+    wide = v * 134217729.0  # 2^27 + 1
+    hi = wide - (wide - v)
+    m = F.floor(v * 100).cast("double")
+    beyond = (hi * 200 - (2 * m + 1)) + (v - hi) * 200
+    up = (beyond > 0) | ((beyond == 0) & (F.pmod(m, F.lit(2.0)) == 1))
+    rounded = (m + F.when(up, 1.0).otherwise(0.0)) / 100
+    return F.when(F.abs(v) < 1e13, rounded).otherwise(v)
 
 
 def python_round(value: Column) -> Column:

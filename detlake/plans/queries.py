@@ -678,3 +678,4 @@ def streamed_hourly_counts(spark, sf_dir):
 
 
 from . import more_queries  # noqa: E402, F401 - registers its queries, which use what stands above
+from . import row_queries  # noqa: E402, F401

@@ -72,3 +72,18 @@ def test_vectors(one):
               px=vectors.restore_pixels(vectors.normalise_pixels(a, (.1, .2, .3), (.5, .5, .5)), (.1, .2, .3), (.5, .5, .5)), emb=vectors.sine_embeddings(F.array(F.lit(.25), F.lit(.5)), 4), mf=vectors.multi_frequency(F.lit(0.0), 2))
     assert sum(got["s"]) == pytest.approx(1) and got["m"] == 1 and got["up"] == [1, 2] and got["inv"] == pytest.approx(1.25) and got["e"] == 7.5
     assert got["px"] == pytest.approx([1, 3, 2]) and len(got["emb"]) == 8 and got["emb"][4] == pytest.approx(1.0) and got["mf"] == [0, 0, 1, 0, 1]
+
+
+def test_two_places_as_the_binary_value_has_it(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from detlake.functions import labels
+
+    rng = random.Random(5)
+    values = [k * 0.005 for k in range(-3000, 3000)] + [2.675, 1.005, 0.125, 0.375, -0.125, 1e12 + 0.125, 3e13 + 0.25, 0.0] + [round(rng.uniform(-700, 700), 3) for _ in range(3000)] + [rng.uniform(-1e5, 1e5) for _ in range(2000)]
+    got = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").select("i", labels.export_round(F.col("v")).alias("r")).collect()
+    wrong = [(values[r["i"]], r["r"]) for r in got if abs(values[r["i"]]) < 1e13 and r["r"] != round(values[r["i"]], 2)]
+    assert not wrong, wrong[:5]
+    assert spark.range(1).select(labels.export_round(F.lit(None).cast("double")).alias("r")).first()["r"] is None
