@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from ..scratch import cut
 
 
 def geometry(rows: DataFrame) -> DataFrame:
@@ -38,13 +43,45 @@ def problem_counts(flagged: DataFrame) -> DataFrame:
     return flagged.select(F.explode("problems").alias("p")).groupBy(F.substring_index("p", "(", 1).alias("problem")).agg(F.count("*").alias("n"))
 
 
+def medians(df: DataFrame, group: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """Exact medians of each measure (``median_<measure>``) for every value of the group columns, null included.
+
+    Values are counted, range-partitioned and ranked by the counts of the
+    partitions before, so neither a group nor its distinct values meet in one task.
+    """
+    g = [f"_g{i}" for i in range(len(group))]
+    long = df.select(*[F.col(c).alias(x) for c, x in zip(group, g, strict=True)], F.posexplode(F.array(*[F.col(m).cast("double") for m in measures])).alias("_m", "_v"))
+    counted = long.where("_v IS NOT NULL").groupBy(*g, "_m", "_v").agg(F.count("*").alias("_n"))
+    placed = cut(counted.repartitionByRange(*g, "_m", "_v").withColumn("_p", F.spark_partition_id()), "counted-values")
+    each = Window.partitionBy(*g, "_m")
+    ends = placed.groupBy(*g, "_m", "_p").agg(F.sum("_n").alias("_n"))
+    ends = ends.select(*g, "_m", "_p", F.coalesce(F.sum("_n").over(each.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.sum("_n").over(each).alias("_total"))
+    ends = ends.select(*[F.col(c).alias(f"{c}_e") for c in (*g, "_m", "_p")], "_before", "_total")
+    same = F.lit(True)
+    for c in (*g, "_m", "_p"):
+        same = same & F.col(c).eqNullSafe(F.col(f"{c}_e"))
+    rows = placed.join(F.broadcast(ends), same)  # a row for each key and partition
+    upto = F.sum("_n").over(Window.partitionBy(*g, "_m", "_p").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)) + F.col("_before")
+    rows = rows.withColumn("_upto", upto)
+    holds = lambda place: (F.col("_upto") - F.col("_n") <= place) & (place < F.col("_upto"))
+    lo, hi = F.floor((F.col("_total") - 1) / 2), F.floor(F.col("_total") / 2)
+    value = lambda i, place: F.max(F.when((F.col("_m") == i) & holds(place), F.col("_v")))
+    found = rows.groupBy(*g).agg(*[((value(i, lo) + value(i, hi)) / 2).alias(f"median_{m}") for i, m in enumerate(measures)])
+    return found.select(*[F.col(x).alias(c) for c, x in zip(group, g, strict=True)], *[f"median_{m}" for m in measures])
+
+
 def box_stats(rows: DataFrame, group: str = "category") -> DataFrame:
-    """Mean, exact median and population deviation of the geometry, overall (null category) and for each category, in one pass."""
+    """Mean, exact median and population deviation of the geometry, overall (null category) and for each category."""
     measures = ["rel_w", "rel_h", "coverage", "centre_offset"]
-    aggs = [F.count("*").alias("n")]
-    for m in measures:
-        aggs += [F.avg(m).alias(f"mean_{m}"), F.percentile(m, F.lit(0.5)).alias(f"median_{m}"), F.stddev_pop(m).alias(f"std_{m}")]
-    return geometry(rows).groupingSets([[], [F.col(group)]], F.col(group)).agg(*aggs)
+    sized = geometry(rows)
+    # every row counts in its category and overall
+    both = sized.select(F.explode(F.array(F.struct(F.lit(True).alias("all"), F.lit(None).cast(sized.schema[group].dataType).alias("c")), F.struct(F.lit(False).alias("all"), F.col(group).alias("c")))).alias("k"), *measures)
+    both = both.select(F.col("k.all").alias("_all"), F.col("k.c").alias(group), *measures)
+    aggs = [f(m).alias(f"{name}_{m}") for m in measures for name, f in (("mean", F.avg), ("std", F.stddev_pop))]
+    stats = both.groupBy("_all", group).agg(F.count("*").alias("n"), *aggs)
+    middle = medians(both, ["_all", group], measures)
+    found = stats.join(middle, (stats["_all"] == middle["_all"]) & stats[group].eqNullSafe(middle[group]), "left")
+    return found.select(stats[group], "n", *[f"{name}_{m}" for m in measures for name in ("mean", "median", "std")])
 
 
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
@@ -62,10 +99,11 @@ def extremes(df: DataFrame, key: str, *measures: str) -> DataFrame:
     aggs = []
     for m in measures:
         aggs += [
-            F.min(m).alias(f"min_{m}"), F.percentile(m, F.lit(0.5)).alias(f"median_{m}"), F.max(m).alias(f"max_{m}"),
+            F.min(m).alias(f"min_{m}"), F.max(m).alias(f"max_{m}"),
             F.min(F.struct(m, key))[key].alias(f"argmin_{m}"), F.min(F.struct((-F.col(m)).alias("v"), F.col(key).alias("k")))["k"].alias(f"argmax_{m}"),
         ]
-    return df.agg(*aggs)
+    both = df.agg(*aggs).join(F.broadcast(medians(df, [], measures)))  # one row each
+    return both.select(*[f"{name}_{m}" for m in measures for name in ("min", "median", "max", "argmin", "argmax")])
 
 
 def verdicts(rows: DataFrame) -> DataFrame:

@@ -309,3 +309,20 @@ def test_suspicious_tags(spark):
     r = spark.createDataFrame([(0.0, 0.0, 600.0, 300.0, 640, 360), (300.0, 160.0, 40.0, 40.0, 640, 360), (5.0, 5.0, 8.0, 20.0, 640, 360), (0.0, 330.0, 50.0, 20.0, 640, 360)], "box_x double, box_y double, box_w double, box_h double, width int, height int")
     got = [x["problems"] for x in quality.geometry(r).select(quality.problems().alias("problems")).collect()]
     assert got == [["very_large_bbox", "full_width", "full_height"], [], ["tiny_bbox", "far_from_center", "possible_gui_top"], ["far_from_center", "possible_gui_bottom"]]
+
+
+def test_medians_of_many_partitions_against_a_sort(spark):
+    import random
+    import statistics
+
+    from detlake.operators import quality
+
+    rng = random.Random(3)
+    data = [(rng.choice(["a", "b", None]), float(rng.randrange(40)), rng.random() if rng.random() < 0.9 else None) for _ in range(700)] + [("c", 1.0, None)]
+    got = quality.medians(spark.createDataFrame(data, "g string, x double, y double").repartition(5), ["g"], ["x", "y"]).collect()
+    assert len(got) == 4
+    for r in got:
+        for m, at in (("x", 1), ("y", 2)):
+            v = [d[at] for d in data if d[0] == r["g"] and d[at] is not None]
+            assert r[f"median_{m}"] == (statistics.median(v) if v else None)
+    assert quality.medians(spark.createDataFrame(data, "g string, x double, y double").where("x < 0"), [], ["x"]).first()["median_x"] is None
