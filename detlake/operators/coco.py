@@ -78,13 +78,8 @@ def build(flat: DataFrame, order: Sequence[str], image_key: Sequence[str] = ("im
     return Dataset(out_images, ann, cats.select(F.col("_category").alias("id"), F.col("category").alias("name"), F.lit("object").alias("supercategory")))
 
 
-def merge(sources: Sequence[tuple[str, Dataset | None]]) -> tuple[Dataset, DataFrame]:
-    """All sources in one dataset, and (source, images, annotations) counts; missing sources are skipped.
-
-    Categories unify by name and number by first appearance; images and
-    annotations number through, file names get the source as prefix; a key that
-    maps to nothing passes unchanged.
-    """
+def _stacked(sources: Sequence[tuple[str, Dataset | None]]) -> list[DataFrame]:
+    """Images, annotations and categories of all sources, each row with its source's place and name; missing sources are skipped."""
     tag = lambda df, i, name: df.select(F.lit(i).alias("src_ord"), F.lit(name).alias("src"), "*")
     have = [(i, n, d) for i, (n, d) in enumerate(sources) if d is not None]
     stack = []
@@ -93,7 +88,28 @@ def merge(sources: Sequence[tuple[str, Dataset | None]]) -> tuple[Dataset, DataF
         for i, n, d in have[1:]:
             out = out.unionByName(tag(d[part], i, n), allowMissingColumns=True)
         stack.append(out)
-    images, anns, cats = stack
+    return stack
+
+
+def _source_counts(images: DataFrame, annotations: DataFrame) -> DataFrame:
+    counts = annotations.groupBy("src").agg(F.count("*").alias("annotations"))
+    return images.groupBy("src").agg(F.count("*").alias("images")).join(counts, "src", "left").na.fill(0)
+
+
+def source_counts(sources: Sequence[tuple[str, Dataset | None]]) -> DataFrame:
+    """(src, images, annotations) as :func:`merge` counts them, without numbering anything."""
+    images, annotations, _ = _stacked(sources)
+    return _source_counts(images, annotations)
+
+
+def merge(sources: Sequence[tuple[str, Dataset | None]]) -> tuple[Dataset, DataFrame]:
+    """All sources in one dataset, and (source, images, annotations) counts; missing sources are skipped.
+
+    Categories unify by name and number by first appearance; images and
+    annotations number through, file names get the source as prefix; a key that
+    maps to nothing passes unchanged.
+    """
+    images, anns, cats = _stacked(sources)
     new_cats = surrogate_keys(cats, ["name"], ["src_ord", "id"], "new_id")
     cat_map = cats.join(F.broadcast(new_cats), "name").select("src_ord", F.col("id").alias("old_id"), "new_id")
     img_map = dense_numbers(images.select("src_ord", F.col("id").alias("old_id")), [F.col("src_ord"), F.col("old_id")], "new_id")
@@ -104,7 +120,7 @@ def merge(sources: Sequence[tuple[str, Dataset | None]]) -> tuple[Dataset, DataF
     out_ann = anns.drop("id", "src_ord").withColumnRenamed("new_ann", "id")
     first = cats.groupBy("name").agg(F.min_by("supercategory", F.struct("src_ord", "id")).alias("supercategory"))
     out_cat = new_cats.join(F.broadcast(first), "name").select(F.col("new_id").alias("id"), "name", "supercategory")
-    counts = images.groupBy("src").agg(F.count("*").alias("images")).join(out_ann.groupBy("src").agg(F.count("*").alias("annotations")), "src", "left").na.fill(0)
+    counts = _source_counts(images, anns)  # no row is lost on the way
     return Dataset(out_img, out_ann.drop("src").select("id", *[c for c in anns.columns if c not in ("id", "src_ord", "src", "new_ann")]), out_cat), counts
 
 

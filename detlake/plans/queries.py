@@ -188,7 +188,7 @@ def merge_datasets(spark, sf_dir):
 @query("""SELECT o_orderstatus AS src, count(DISTINCT o_orderkey) AS images, (SELECT count(*) FROM lineitem JOIN orders o ON o.o_orderkey = l_orderkey WHERE o.o_orderstatus = orders.o_orderstatus) AS annotations
   FROM orders WHERE o_orderstatus IN ('F', 'O', 'P') GROUP BY 1""")
 def merge_counts(spark, sf_dir):
-    return coco.merge([(s, dataset(spark, sf_dir, s)) for s in ("F", "O", "P")] + [("missing", None)])[1]
+    return coco.source_counts([(s, dataset(spark, sf_dir, s)) for s in ("F", "O", "P")] + [("missing", None)])
 
 
 @query(f"""WITH f AS (SELECT *, image_id % 500 AS file FROM {sql("annotations")}), i AS (SELECT file, row_number() OVER (ORDER BY m) AS image_id FROM (SELECT file, min((image_id, l_linenumber, l_partkey, l_suppkey, box_x, box_w, box_h)) AS m FROM f GROUP BY file)),
