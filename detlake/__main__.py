@@ -1,4 +1,4 @@
-"""``python -m detlake [QUERY FOLDER [OUTPUT]]``: list the registered queries, or run one over a folder of tables."""
+"""``python -m detlake [QUERY FOLDER [OUTPUT]]``: list the registered queries, or run one over a folder of tables; ``python -m detlake COMMAND OUT IN...``: run a job."""
 
 from __future__ import annotations
 
@@ -6,10 +6,13 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from . import commands
 from .plans.queries import QUERIES
 
 
 def main(args: list[str]) -> int:
+    if args and args[0] in commands.COMMANDS:
+        return commands.main(args)
     if len(args) < 2:
         print("\n".join(sorted(QUERIES)))
         return 0
