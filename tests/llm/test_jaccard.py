@@ -80,3 +80,91 @@ def test_divided_lists_are_compared_in_full(spark):
     want = {(a, b) for m in lists.values() if len(m) > 2 for a in m for b in m if a < b and ((texts[a] >> jaccard.np.uint64(8)).astype("u1") == (texts[b] >> jaccard.np.uint64(8)).astype("u1")).sum() >= jaccard.LIKELY}
     largest = {key: m for key, m in lists.items() if len(m) > 2}
     assert sure == want and largest
+
+
+def near_group(n, seed=21):
+    """Texts of 150 words that differ from a common one at two to five places: most pairs lie below the bound, all agree in lists."""
+    rnd = random.Random(seed)
+    base, rows = words(150, seed).split(), []
+    for i in range(n):
+        w = list(base)
+        for at in rnd.sample(range(len(w)), rnd.choice((2, 3, 4, 5))):
+            w[at] = f"new{i}x{at}"
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+def plain_groups(sets, tied=()):
+    """The components of ``tied`` and of all pairs at the bound."""
+    up = {i: i for i in sets}
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    near = [(i, j) for i in sets for j in sets if i < j and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    for i, j in [*tied, *near]:
+        up[root(i)] = root(j)
+    groups = {}
+    for i in sets:
+        groups.setdefault(root(i), set()).add(i)
+    return sorted(map(sorted, groups.values()))
+
+
+def test_no_table_grows_with_the_square_of_a_near_group(spark, monkeypatch):
+    rows, made, cut = near_group(240), {}, jaccard.cut
+
+    def counted(df, name, *by):
+        out = cut(df, name, *by)
+        made[name] = max(made.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "cut", counted)
+    found = {}
+    for r in jaccard.near_duplicates(docs(spark, rows)).collect():
+        found.setdefault(r["root"], set()).add(r["doc_id"])
+    assert sorted(map(sorted, found.values())) == plain_groups({i: shingles(t) for i, t in rows})
+    assert made["divided-lists"] and max(made.values()) <= jaccard.BANDS * len(rows), made
+
+
+def test_blocks_of_a_list_find_what_the_whole_list_does(spark, monkeypatch):
+    rows = near_group(90, 22)
+    sets = {i: shingles(t) for i, t in rows}
+    least = {i: jaccard.signature(jaccard.np.unique(jaccard.np.array(jaccard.text_hashes(t, 5), "u8"))) for i, t in rows}
+    prints = spark.createDataFrame([(i, jaccard.bands(x).tolist()) for i, x in least.items()], "h long, keys array<long>")
+    texts = spark.createDataFrame(rows, "h long, t string")
+    for size, length, known in ((1024, 8 << 20, 0), (16, 8 << 20, 0), (16, 8 << 20, 40), (1024, 10_000, 40)):
+        monkeypatch.setattr(jaccard, "BLOCK", size)
+        monkeypatch.setattr(jaccard, "BLOCK_BYTES", length)
+        tied = spark.createDataFrame([(i, 0) for i in range(known)], "h long, root long")
+        found = [(r["a"], r["b"]) for r in jaccard.joining_links(prints, tied, texts, 5, 0.8).collect()]
+        up = plain_groups(sets, [(0, i) for i in range(known)])
+        assert all(len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) for a, b in found)
+        joined = plain_groups({i: {i} for i in sets}, [*found, *((0, i) for i in range(known))])
+        assert joined == up, (size, length, known)
+
+
+def test_join_groups_against_all_pairs():
+    np, rnd = jaccard.np, random.Random(5)
+    for trial in range(300):
+        least = rnd.choice((0.5, 0.8, 0.9, 1.0))
+        bases = [rnd.sample(range(400), rnd.choice((1, 2, 5, 20, 60))) for _ in range(3)]
+        sets = []
+        for _ in range(rnd.randrange(2, 30)):
+            base = rnd.choice(bases)
+            sets.append({*rnd.sample(base, max(1, len(base) - rnd.choice((0, 0, 1, 2, 8)))), *(rnd.randrange(400) for _ in range(rnd.choice((0, 0, 1, 3))))})
+        group = np.array([rnd.randrange(len(sets)) for _ in sets])
+        side = np.array([rnd.random() < 0.5 for _ in sets])
+        probes, targets = (side, ~side) if trial % 2 else (side, np.ones(len(sets), bool))
+        found = jaccard.join_groups([np.array(sorted(x), "u8") for x in sets], group, probes, targets, least)
+        want = [(i, j) for i in np.flatnonzero(probes) for j in np.flatnonzero(targets) if group[i] != group[j] and len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]) - 1e-9]
+
+        def parts(pairs, of=group):
+            name = {g: g for g in of.tolist()}
+            for i, j in pairs:
+                a, b = name[of[i]], name[of[j]]
+                name = {g: b if x == a else x for g, x in name.items()}
+            return {frozenset(g for g in name if name[g] == x) for x in name.values()}
+
+        assert set(found) <= set(want) and parts(found) == parts(want) and len(found) < len(set(group.tolist()))
